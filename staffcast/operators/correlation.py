@@ -8,59 +8,65 @@ numbers, never rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staffcast.functions.wide import double_array, long_form, quoted
+from staffcast.operators.scaling import ColumnStats, column_stats
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Pairwise-complete Pearson correlations; NaN where a column is constant on the common rows."""
+
+def correlation_matrix(
+    df: DataFrame, columns: Sequence[str], stats: Mapping[str, ColumnStats] | None = None
+) -> np.ndarray:
+    """Pairwise-complete Pearson correlations; NaN where a column is constant on the common rows.
+
+    ``stats`` (of these rows, or of rows containing them) saves a pass.
+    """
     columns = list(columns)
-    parts = []
-    for c in columns:
-        x = F.col(f"`{c}`").cast("double")
-        parts += [F.count(x), F.avg(x), F.min(x), F.max(x)]
-    row = df.agg(F.count("*"), *parts).first()
-    width, total = len(columns), row[0]
-    counts, means, least, most = (
-        np.array([np.nan if v is None else float(v) for v in row[1 + k :: 4]]) for k in range(4)
-    )
+    width = len(columns)
     result = np.full((width, width), np.nan)
+    stats = column_stats(df, columns) if stats is None else stats
+    used = [stats[c] for c in columns]
+    total = max((s.n for s in used), default=0)
     if total == 0:
         return result
-
-    masked = [i for i in range(width) if counts[i] < total]
-    means = np.nan_to_num(means)
-    shifted = [F.col(f"`{c}`").cast("double") - F.lit(float(means[i])) for i, c in enumerate(columns)]
-    fields = [F.lit(1.0).alias("one")]
-    fields += [shifted[i].isNotNull().cast("double").alias(f"m{i}") for i in masked]
-    fields += [F.coalesce(x, F.lit(0.0)).alias(f"x{i}") for i, x in enumerate(shifted)]
+    masked = [i for i, s in enumerate(used) if s.n < total]
+    spans = np.array([(s.greatest or 0.0) - (s.least or 0.0) for s in used])
+    # Shifted by the mean and divided by the range, sums of squares lose no digits.
+    shift = "array(" + ", ".join(f"{s.mean or 0.0!r}D" for s in used) + ")"
+    scale = "array(" + ", ".join(f"{float(v) or 1.0!r}D" for v in spans) + ")"
+    rows = df.select(double_array(columns).alias("x"))
+    rows = rows.selectExpr(
+        "x", f"zip_with(zip_with(x, {shift}, (a, b) -> coalesce(a - b, 0.0D)), {scale}, (a, b) -> a / b) AS z"
+    )
+    blocks = ["array(1.0D)", "z"]
     if masked:
-        fields += [F.coalesce(x * x, F.lit(0.0)).alias(f"s{i}") for i, x in enumerate(shifted)]
-    wide = df.select(*fields)
-    vectors = VectorAssembler(inputCols=wide.columns, outputCol="v").transform(wide).select("v")
+        flags = ", ".join(f"CAST(x[{i}] IS NOT NULL AS DOUBLE)" for i in masked)
+        blocks += [f"array({flags})", "transform(z, v -> v * v)"]
+    vectors = rows.select(array_to_vector(F.expr(f"concat({', '.join(blocks)})")).alias("v"))
     gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray()
 
-    at = {name: i for i, name in enumerate(wide.columns)}
-    mask = np.array([at.get(f"m{i}", 0) for i in range(width)])
-    xs = np.array([at[f"x{i}"] for i in range(width)])
+    xs = np.arange(1, 1 + width)
+    mask = np.zeros(width, dtype=int)
+    mask[masked] = 1 + width + np.arange(len(masked))
     n = gram[np.ix_(mask, mask)]
     sum_x = gram[np.ix_(xs, mask)]
     cross = gram[np.ix_(xs, xs)]
     if masked:
-        squares = gram[np.ix_(np.array([at[f"s{i}"] for i in range(width)]), mask)]
+        squares = gram[np.ix_(xs + width + len(masked), mask)]
     else:
         squares = np.repeat(np.diag(cross)[:, None], width, axis=1)
     with np.errstate(all="ignore"):
         covariance = cross - sum_x * sum_x.T / n
         spread = squares - sum_x * sum_x / n
         # What is left of a constant column after subtracting its mean is rounding, not spread.
-        flat = ~(spread > 1e-13 * n * ((most - least) ** 2)[:, None])
+        flat = ~(spread > 1e-13 * n) | (spans == 0)[:, None]
         result = covariance / np.sqrt(spread * spread.T)
     result[flat | flat.T | ~(n > 1)] = np.nan
     return np.clip(result, -1.0, 1.0)
@@ -78,11 +84,21 @@ def correlation_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """Correlation of each column with the target, the target itself included."""
+    """Correlation of each column with the target, the target itself included: ``name``, ``r``.
+
+    One long pass with a mergeable aggregate per column, on the rows where the column is present.
+    """
     names = [*columns, target]
-    matrix = correlation_matrix(df, names)
-    rows = [(c, None if np.isnan(r) else float(r)) for c, r in zip(names, matrix[-1])]
-    return df.sparkSession.createDataFrame(rows, "name string, r double")
+    cells = long_form(df, names, [F.col(quoted(target)).cast("double").alias("t")]).filter(
+        "value IS NOT NULL AND t IS NOT NULL"
+    )
+    sums = cells.groupBy("pos").agg(
+        F.covar_pop("value", "t").alias("c"), F.stddev_pop("value").alias("sx"), F.stddev_pop("t").alias("st"),
+        F.min("value").alias("least"), F.max("value").alias("greatest"),
+    )
+    spread = F.when(F.col("least") < F.col("greatest"), F.col("sx") * F.col("st"))
+    labels = F.array(*[F.lit(c) for c in names])
+    return sums.select(labels[F.col("pos")].alias("name"), F.try_divide("c", spread).alias("r"))
 
 
 def target_related(df: DataFrame, columns: Sequence[str], target: str, quantile: float) -> list[str]:
@@ -100,8 +116,9 @@ def target_related(df: DataFrame, columns: Sequence[str], target: str, quantile:
     return sorted(kept, key=lambda c: (-strength[c], c))
 
 
-def not_redundant(df: DataFrame, columns: Sequence[str], cut: float) -> list[str]:
+def not_redundant(
+    df: DataFrame, columns: Sequence[str], cut: float, stats: Mapping[str, ColumnStats] | None = None
+) -> list[str]:
     """Columns without a strong correlation to any earlier column, kept or not."""
-    strength = np.nan_to_num(np.abs(correlation_matrix(df, columns)))
+    strength = np.nan_to_num(np.abs(correlation_matrix(df, columns, stats)))
     return [c for j, c in enumerate(columns) if not (strength[:j, j] >= cut).any()]
-

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from staffcast import settings as S
 from staffcast.functions.text import split_values, tokens
+from staffcast.functions.wide import quoted
 
 # Columns a fitted list may turn into before the caller must choose the long or vector form.
 MAX_COLUMNS = 20_000
@@ -103,13 +104,11 @@ def add_term_columns(
         "_counts", vector_to_array("_counts")
     )
     at = {t: i for i, t in enumerate(terms)}
-    columns = {}
-    for name, members in merge_terms(terms).items():
-        total = F.col("_counts")[at[members[0]]]
-        for member in members[1:]:
-            total = total + F.col("_counts")[at[member]]
-        columns[f"{prefix}{name}"] = total.cast("int")
-    return counted.withColumns(columns).drop("_tokens", "_counts")
+    columns = [
+        f"CAST({' + '.join(f'_counts[{at[m]}]' for m in members)} AS INT) AS {quoted(prefix + name)}"
+        for name, members in merge_terms(terms).items()
+    ]
+    return counted.selectExpr(*[quoted(c) for c in df.columns], *columns)
 
 
 # ---- one-hot -------------------------------------------------------------------
@@ -140,4 +139,7 @@ def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
 def align_columns(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The saved columns in the saved order; a column that is absent is 0."""
     present = set(df.columns)
-    return df.select(*key, *[F.col(f"`{c}`") if c in present else F.lit(0.0).alias(c) for c in columns])
+    return df.selectExpr(
+        *[quoted(k) for k in key],
+        *[quoted(c) if c in present else f"0.0D AS {quoted(c)}" for c in columns],
+    )

@@ -1,31 +1,63 @@
-"""Min-max scaling with fitted bounds."""
+"""Column statistics and min-max scaling with fitted bounds."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from staffcast.functions.wide import long_form, quoted
+
+
+@dataclass(frozen=True)
+class ColumnStats:
+    """Present values, mean and range of one column."""
+
+    n: int
+    mean: float | None
+    least: float | None
+    greatest: float | None
+
+
+def column_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnStats]:
+    """Statistics of all columns in one pass; the shuffle carries one row per task and column."""
+    if not columns:
+        return {}
+    per_column = long_form(df, columns).groupBy("pos").agg(
+        F.count("value").alias("n"), F.avg("value").alias("mean"),
+        F.min("value").alias("least"), F.max("value").alias("greatest"),
+    )
+    found = {r["pos"]: ColumnStats(r["n"], r["mean"], r["least"], r["greatest"]) for r in per_column.collect()}
+    empty = ColumnStats(0, None, None, None)
+    return {c: found.get(i, empty) for i, c in enumerate(columns)}
+
 
 def fit_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:
-    """Least and greatest value of every column in one pass."""
-    parts = []
-    for c in columns:
-        parts += [F.min(F.col(f"`{c}`").cast("double")), F.max(F.col(f"`{c}`").cast("double"))]
-    row = df.agg(*[p.alias(str(i)) for i, p in enumerate(parts)]).first()
-    return {c: (row[2 * i], row[2 * i + 1]) for i, c in enumerate(columns)}
+    """Least and greatest value of every column."""
+    return bounds_of(column_stats(df, columns))
+
+
+def bounds_of(stats: Mapping[str, ColumnStats]) -> dict[str, tuple[float | None, float | None]]:
+    return {c: (s.least, s.greatest) for c, s in stats.items()}
 
 
-def scale(value: Column, bounds: tuple[float | None, float | None]) -> Column:
-    """Position within the bounds; 0 for a constant column, NULL for a missing value."""
+def scaled(column: str, bounds: tuple[float | None, float | None]) -> str:
+    """SQL: position of a column within its bounds; 0 if it is constant, NULL for a missing value."""
     low, high = bounds
+    name = quoted(column)
     if low is None:
-        return F.lit(None).cast("double")
+        return f"CAST(NULL AS DOUBLE) AS {name}"
+    shifted = f"CAST({name} AS DOUBLE) - {_double(low)}"
     if low == high:
-        return F.when(value.isNotNull(), value.cast("double") - F.lit(low))
-    return (value.cast("double") - F.lit(low)) / F.lit(high - low)
+        return f"{shifted} AS {name}"
+    return f"({shifted}) / {_double(high - low)} AS {name}"
+
+
+def scale_columns(df: DataFrame, keep: Sequence[str], bounds: Mapping[str, tuple[float | None, float | None]]) -> DataFrame:
+    return df.selectExpr(*[quoted(k) for k in keep], *[scaled(c, b) for c, b in bounds.items()])
 
 
-def scale_columns(bounds: Mapping[str, tuple[float | None, float | None]]) -> list[Column]:
-    return [scale(F.col(f"`{c}`"), b).alias(c) for c, b in bounds.items()]
+def _double(value: float) -> str:
+    return f"{value!r}D"

@@ -119,7 +119,7 @@ class FeatureModel:
         return encoding.align_columns(encoded, [KEY, "target"], self.encoded_columns)
 
     def scale(self, encoded: DataFrame) -> DataFrame:
-        return encoded.select(KEY, "target", *scaling.scale_columns(self.bounds))
+        return scaling.scale_columns(encoded, [KEY, "target"], self.bounds)
 
     def transform(self, cleaned: DataFrame) -> DataFrame:
         """Key, target and the model's columns of cleaned rows."""
@@ -204,14 +204,14 @@ def fit_features(
     model.encoded_columns = numeric + list(encoding.one_hot_columns(model.categories))
 
     encoded = stage(model.encode(described), "encoded")
-    model.bounds = scaling.fit_bounds(encoded, model.encoded_columns)
-    scaled = model.scale(encoded)
+    stats = scaling.column_stats(encoded, model.encoded_columns)
+    model.bounds = scaling.bounds_of(stats)
+    # Correlations do not change under scaling, so they are taken from the unscaled columns.
     related = correlation.target_related(
-        scaled.filter("target <> -1"), model.encoded_columns, "target", conf.target_corr_quantile
+        encoded.filter("target <> -1"), model.encoded_columns, "target", conf.target_corr_quantile
     )
-    related = [c for c in related if c != "target"]
-    model.model_columns = correlation.not_redundant(scaled, related, conf.redundancy_cut)
-    final = scaled.select(KEY, "target", *[F.col(f"`{c}`") for c in model.model_columns])
+    model.model_columns = correlation.not_redundant(encoded, related, conf.redundancy_cut, stats)
+    final = scaling.scale_columns(encoded, [KEY, "target"], {c: model.bounds[c] for c in model.model_columns})
     return Features(cleaned, encoded, final, model)
 
 
