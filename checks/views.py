@@ -131,11 +131,13 @@ requests AS (
     CASE WHEN k % 2 = 0 THEN 0.0::DOUBLE ELSE CAST(18000 + k % 25000 AS DOUBLE) END AS average_salary_12,
     o_orderpriority AS priority, CASE WHEN k % 2 = 0 THEN 'T&M' ELSE 'Fixed' END AS service_type,
     CAST(k % 5 AS INTEGER) AS request_difficulty
-  FROM (SELECT o_orderkey AS k, o_custkey AS c, CAST(o_orderdate AS DATE) AS created, * FROM orders) o
+  FROM (SELECT o_orderkey AS k, o_custkey AS c, CAST(o_orderdate AS DATE) AS created,
+          o_orderkey % (SELECT count(*) FROM part) AS part_ref,
+          o_orderkey % (SELECT count(*) FROM documents) AS doc_ref, * FROM orders) o
   JOIN customer ON c_custkey = c
   JOIN nation ON n_nationkey = c_nationkey
-  JOIN part ON p_partkey = k % (SELECT count(*) FROM part)
-  JOIN documents ON doc_id = k % (SELECT count(*) FROM documents)
+  JOIN part ON p_partkey = part_ref
+  JOIN documents ON doc_id = doc_ref
   LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, count(*) FILTER (WHERE l_returnflag <> 'R') AS n_kept
              FROM lineitem GROUP BY l_orderkey) l ON l_orderkey = k
 )"""
