@@ -1,7 +1,7 @@
 """Exact linear-interpolation quantiles that hold at any group size.
 
-``percentile`` keeps every distinct value of a group in one task. That is the right plan while groups
-are small, so it is used up to ``state_rows`` rows per group. Larger groups are solved by bracketing:
+Numbering the values of a group takes one task per group. That is the right plan while groups are
+small, so it is used up to ``state_rows`` rows per group. Larger groups are solved by bracketing:
 
 1. a mergeable sketch gives, per group and probability, a narrow interval around the wanted ranks;
 2. one aggregate counts the values below each interval and, by value, those inside;
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from staffcast.staging import lookup_join, stage
@@ -43,9 +43,9 @@ def group_quantiles(
     sizes = stage(rows.groupBy(*keys).agg(F.count("*").alias("n")), "sizes")
     large = sizes.filter(F.col("n") > state_rows)
     if large.isEmpty():
-        return _by_state(rows, keys, probs)
+        return _by_rank(rows, keys, probs)
     marked = lookup_join(rows, large, keys, null_safe=True)
-    small = _by_state(marked.filter(F.col("n").isNull()), keys, probs)
+    small = _by_rank(marked.filter(F.col("n").isNull()), keys, probs)
     return small.unionByName(_by_brackets(marked.filter(F.col("n").isNotNull()), keys, probs, accuracy))
 
 
@@ -72,11 +72,31 @@ def _prob_array(probs):
     return F.array(*[F.lit(float(p)) for p in probs])
 
 
-def _by_state(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.percentile("_x", _prob_array(probs)).alias("q")
+def _between(low: Column, high: Column, position: Column) -> Column:
+    """Linear interpolation between the values around a position."""
+    weight = position - F.floor(position)
+    return F.when(low == high, low).otherwise(low * (1 - weight) + high * weight)
+
+
+def _by_rank(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Number the values of each group; one shuffle and one sort, for groups of bounded size."""
+    group = Window.partitionBy(*keys)
+    ranked = rows.select(
+        *keys,
+        "_x",
+        (F.row_number().over(group.orderBy("_x")) - 1).alias("_rank"),
+        F.count("*").over(group).alias("n"),
     )
 
+    def at(place):
+        return F.max(F.when(F.col("_rank") == place, F.col("_x")))
+
+    positions = [(F.col("n") - 1) * F.lit(p) for p in probs]
+    ends = [(at(F.floor(pos)).alias(f"_l{i}"), at(F.ceil(pos)).alias(f"_h{i}")) for i, pos in enumerate(positions)]
+    picked = ranked.groupBy(*keys).agg(F.first("n").alias("n"), *[e for pair in ends for e in pair])
+    values = [_between(F.col(f"_l{i}"), F.col(f"_h{i}"), pos) for i, pos in enumerate(positions)]
+    return picked.select(*keys, "n", F.array(*values).alias("q"))
+
 
 def _by_brackets(rows: DataFrame, keys: list[str], probs: list[float], accuracy: int) -> DataFrame:
     """``rows`` carries ``keys``, ``n`` (rows of the group) and the value ``_x``."""
@@ -95,10 +115,7 @@ def _by_brackets(rows: DataFrame, keys: list[str], probs: list[float], accuracy:
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
-    weight = F.col("position") - F.floor("position")
-    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
-        F.col("low") * (1 - weight) + F.col("high") * weight
-    )
+    value = _between(F.col("low"), F.col("high"), F.col("position"))
     return found.groupBy(*keys).agg(
         F.first("n").alias("n"),
         F.transform(

@@ -217,15 +217,17 @@ def fit_features(
 
 def salary_medians(salary: DataFrame) -> DataFrame:
     """Salary medians at all levels for both tenure bands: columns ``settled`` and ``new``."""
-    medians = fallback.level_medians(clean_salary(salary), S.SALARY_LEVELS, "salary", by=["band"])
+    cleaned = stage(clean_salary(salary), "clean_salary")
+    medians = fallback.level_medians(cleaned, S.SALARY_LEVELS, "salary", by=["band"])
     return medians.groupBy("level", *S.SALARY_LEVELS[0]).agg(
         *[F.max(F.when(F.col("band") == band, F.col("median"))).alias(band) for band in ("settled", "new")]
     )
 
 
 def probability_medians(rows: DataFrame, column: str, levels) -> DataFrame:
-    known = rows.withColumn("_known", rules.known_probability(F.col(column)))
-    return fallback.level_medians(known, levels, "_known")
+    keys = dict.fromkeys(k for level in levels for k in level)
+    known = rows.select(*keys, rules.known_probability(F.col(column)).alias("_known"))
+    return fallback.level_medians(stage(known, "known"), levels, "_known")
 
 
 def fill_salaries(rows: DataFrame, table: DataFrame) -> DataFrame:
