@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from staffcast.llm import max_score, url_trees
+from staffcast.llm import max_score, simhash, url_trees
 
 QUERIES = {
     "op7_maxscore": max_score.op7_maxscore,
     "op8_url_trees": url_trees.op8_url_trees,
+    "op10_simhash": simhash.op10_simhash,
 }
 ORACLES = {"op7_maxscore": max_score.SQL}
