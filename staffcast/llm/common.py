@@ -93,6 +93,9 @@ class Powers:
         self.base = base | 1
         self.up = self.down = np.ones(1, np.uint64)
 
+    def __reduce__(self):
+        return Powers, (self.base,)
+
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             n = max(n, 2 * len(self.up))

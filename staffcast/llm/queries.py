@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from staffcast.llm import max_score, simhash, url_trees
+from staffcast.llm import max_score, positional, simhash, url_trees
 
 QUERIES = {
     "op7_maxscore": max_score.op7_maxscore,
     "op8_url_trees": url_trees.op8_url_trees,
+    "op9_positional": positional.op9_positional,
     "op10_simhash": simhash.op10_simhash,
 }
 ORACLES = {"op7_maxscore": max_score.SQL}
