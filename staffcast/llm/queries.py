@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from staffcast.llm import count_min, max_score, positional, simhash, url_trees
+from staffcast.llm import count_min, max_score, packing, positional, simhash, url_trees
 
 QUERIES = {
     "op2_count_min": count_min.op2_count_min,
+    "op3_sum_of_squares": packing.op3_sum_of_squares,
     "op7_maxscore": max_score.op7_maxscore,
     "op8_url_trees": url_trees.op8_url_trees,
     "op9_positional": positional.op9_positional,
