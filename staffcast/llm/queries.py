@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from staffcast.llm import count_min, max_score, packing, positional, simhash, url_trees
+from staffcast.llm import count_min, max_score, packing, positional, rule_ensemble, simhash, url_trees
 
 QUERIES = {
+    "op1_rule_ensemble": rule_ensemble.op1_rule_ensemble,
     "op2_count_min": count_min.op2_count_min,
     "op3_sum_of_squares": packing.op3_sum_of_squares,
     "op7_maxscore": max_score.op7_maxscore,
