@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from staffcast.llm import count_min, max_score, packing, page_lines, positional, rule_ensemble, simhash, url_trees
+from staffcast.llm import count_min, feistel, max_score, ownership, packing, page_lines, positional, rule_ensemble, simhash, url_trees
 
 QUERIES = {
     "op1_rule_ensemble": rule_ensemble.op1_rule_ensemble,
     "op2_count_min": count_min.op2_count_min,
     "op3_sum_of_squares": packing.op3_sum_of_squares,
+    "op4_feistel": feistel.op4_feistel,
+    "op5_ownership": ownership.op5_ownership,
     "op6_page_lines": page_lines.op6_page_lines,
     "op7_maxscore": max_score.op7_maxscore,
     "op8_url_trees": url_trees.op8_url_trees,
