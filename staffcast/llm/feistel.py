@@ -150,10 +150,10 @@ def _ssn(text: Column, key: str) -> tuple[Column, Column]:
 
 
 def _phone(text: Column, key: str) -> tuple[Column, Column]:
-    """7 to 15 digits; what comes before the last ten, or else the first digit, stays."""
+    """7 to 15 digits: the last ten are permuted, whatever country code they have; of fewer than ten the first stays."""
     digits = digits_of(text)
     n = F.char_length(digits)
-    first = F.greatest(n - 10, F.lit(1))
+    first = F.when(n >= 10, n - 10).otherwise(F.lit(1))
     new = F.concat(F.substr(digits, F.lit(1), first), permuted_digits(F.substr(digits, first + 1), key, "phone"))
     return n.between(7, 15), refilled(text, "[0-9]", new)
 

@@ -160,7 +160,7 @@ def close_links(values: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -
 
 
 def near_duplicates(
-    docs: DataFrame, id_column: str, text_column: str, size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS
+    docs: DataFrame, id_column: str, text_column: str, row: str | None = None, size: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS
 ) -> DataFrame:
     """``row, id, fp, component_id, first_row`` of each document.
 
@@ -170,10 +170,13 @@ def near_duplicates(
     lead to, null ids aside (null if all are), and ``first_row`` the row number of one row with it. Rows with
     equal ids or texts each have a row; other columns are ignored; an empty table gives an empty result.
 
-    Equal fingerprints are merged first, so a group of copies costs one row however large it is.
+    Equal fingerprints are merged first, so a group of copies costs one row however large it is. ``row`` may name a column of
+    written numbers that differ between rows; else rows are numbered here.
     """
-    row = free_name(docs, "_row")
-    docs = numbered(docs, row).select(F.col(row).alias("row"), F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
+    if row is None:
+        row = free_name(docs, "_row")
+        docs = numbered(docs, row)
+    docs = docs.select(F.col(row).alias("row"), F.col(id_column).alias("id"), F.col(text_column).cast("string").alias("text"))
     id_type = docs.schema["id"].dataType.simpleString()
     prints = stage(docs.mapInArrow(lambda b: _fingerprint(b, size), f"row long, id {id_type}, fp long"), "fingerprints")
     # The smallest id, and of its rows the first; a null id comes last.
