@@ -13,42 +13,96 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffcast.llm.common import UNSPACED, WordHash, chunks, expand, free_name, numbered, read_table, word_spans
+from staffcast.llm.common import LOWER, UNSPACED, WordHash, chunks, expand, free_name, numbered, read_table, word_spans
 from staffcast.staging import stage
 
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 16_384  # pieces that one task packs together
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 
 WORDS = WordHash(3)
+MARK = b"<|endoftext|>"
+# Bytes that are ASCII letters (1), other visible ASCII (2), or neither; and those that make a word odd.
+KIND = np.zeros(256, np.int8)
+KIND[0x21:0x7F] = 2
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+ODD = np.zeros(256, np.int64)
+ODD[[0x27, 0x3C]] = 1
+
+
+def units(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, starts, ends, units before each word) of the parts that the tokenizer surely keeps apart.
+
+    It lower-cases, never joins what white space parts, and parts ASCII letters from ASCII digits and punctuation. Not so
+    around an apostrophe (``it's``), nor in what may be the name of a special token: such words stay as they are.
+    """
+    odd = np.concatenate([[0], np.cumsum(ODD[raw])])
+    plain = odd[ends] == odd[starts]
+    kind = KIND[raw]
+    edges = np.flatnonzero((kind[1:] + kind[:-1] == 3)) + 1
+    if len(edges):
+        word = np.searchsorted(starts, edges, "right") - 1
+        inside = (word >= 0) & (edges < ends[np.maximum(word, 0)]) & plain[np.maximum(word, 0)]
+        edges, word = edges[inside], word[inside]
+    else:
+        word = edges
+    before = np.arange(len(starts) + 1) + np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(starts)))])
+    text = LOWER[raw]
+    for i in np.flatnonzero(~plain).tolist():
+        text[starts[i] : ends[i]] = raw[starts[i] : ends[i]]
+    return text, np.sort(np.concatenate([starts, edges])), np.sort(np.concatenate([ends, edges])), before
 
 
 class WordTokens:
-    """Token ids of texts, word by word: the tokenizer never joins what white space parts.
+    """Token ids of texts, unit by unit (see :func:`units`).
 
-    Each different word is encoded once and kept, up to a bound. Words are told apart by 64-bit hashes.
+    Each different unit is encoded once and kept, up to a bound. Units are told apart by 64-bit hashes.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_str(definition).encode_batch_fast
+        tokenizer = Tokenizer.from_str(definition)
+        self.encode, self.mark = tokenizer.encode_batch_fast, tokenizer.token_to_id(MARK.decode())
         self.known: dict[int, bytes] = {}
 
+    def _learn(self, hashes: list[int], raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """Encode all new units as one text, each followed by a special token: these part the ids of the units again."""
+        if not hashes:
+            return
+        size = len(MARK) + ends - starts
+        text = raw[np.minimum(expand(starts, size), max(0, len(raw) - 1))]
+        to = np.cumsum(size)
+        for i, byte in enumerate(MARK):
+            text[to - len(MARK) + i] = byte
+        [encoded] = self.encode([text.tobytes().decode()], add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4")
+        cuts = np.flatnonzero(ids == self.mark)
+        if len(cuts) != len(hashes):  # some unit holds the special token itself
+            parts = np.array_split(np.arange(len(hashes)), 2)
+            if len(hashes) == 1:
+                self.known[hashes[0]] = ids[:-1].tobytes()
+                return
+            for part in parts:
+                self._learn([hashes[i] for i in part], raw, starts[part], ends[part])
+            return
+        data, edges = ids.tobytes(), (4 * cuts).tolist()
+        begin = [0, *[e + 4 for e in edges[:-1]]]
+        self.known.update((h, data[a:b]) for h, a, b in zip(hashes, begin, edges, strict=True))
+
     def __call__(self, at: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a piece, each with the closing id, and where each document begins (plus the end)."""
         starts, ends, first = word_spans(at, raw, UNSPACED)
+        raw, starts, ends, before = units(raw, starts, ends)
+        first = before[first]
         hashes, sample, inverse = np.unique(WORDS(raw, starts, ends), return_index=True, return_inverse=True)
         if len(self.known) > CACHED_WORDS:
             self.known = {}
         known, hashes = self.known, hashes.tolist()
         new = [i for i, h in enumerate(hashes) if h not in known]
-        text = raw.tobytes()
-        words = [text[a:b].decode() for a, b in zip(starts[sample[new]].tolist(), ends[sample[new]].tolist(), strict=True)]
-        for i, encoded in zip(new, self.encode(words, add_special_tokens=False), strict=True):
-            known[hashes[i]] = np.array(encoded.ids, "<u4").tobytes()
+        self._learn([hashes[i] for i in new], raw, starts[sample[new]], ends[sample[new]])
         # One run for each different word, and the closing id as a last "word" of each document.
         runs = [known[h] for h in hashes] + [np.array([END_ID], "<u4").tobytes()]
         sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
@@ -88,7 +142,7 @@ def pieces(docs: DataFrame, text_column: str, keep: list[str], tokenizer: str, c
     """``kept, piece, start, length, ids_crc32`` (and ``ids``) of each document's pieces.
 
     A document's ids are those of the tokenizer file for its text, then 0; only what is longer than ``capacity`` is cut.
-    ``kept`` is a struct of the columns in ``keep``; null texts count as empty, and have one piece of one id. Other columns are
+    ``kept`` is a struct of the columns in ``keep``, at least one; null texts count as empty, and have one piece of one id. Other columns are
     ignored. The file is read by the driver alone.
     """
     rows = docs.select(F.struct(*[F.col(c) for c in keep]).alias("kept"), F.col(text_column).cast("string").alias("text"))
@@ -111,9 +165,9 @@ def sum_of_squares(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.nd
     never = np.iinfo(np.int64).max
     for i, size in enumerate(lengths.tolist()):
         # From gap g to g - size: (n[g] - 1)^2 and (n[g - size] + 1)^2 instead of both squares; a full one counts nowhere.
-        change = np.where(count[size:] > 0, count[: capacity + 1 - size] - count[size:], never)
+        change = np.where(count[size:] > 0, 2 * (count[: capacity + 1 - size] - count[size:]) + 2, never)
         if change[0] < never:
-            change[0] = -count[size] - 1
+            change[0] = 1 - 2 * count[size]
         best = int(change.argmin())
         if change[best] < never:
             gap = size + best
