@@ -63,7 +63,7 @@ def candidates(text: Column, taken: Column) -> Column:
 def find_secrets(
     docs: DataFrame, text_column: str, repository: Column, owner: Column, keep: list[str], example_owners: int = EXAMPLE_OWNERS
 ) -> DataFrame:
-    """``kept, spans, n_live, n_example`` of each row; ``kept`` is a struct of the columns in ``keep``.
+    """``kept, spans, n_live, n_example`` of each row; ``kept`` is a struct of the columns in ``keep``, at least one.
 
     Spans are ``start, end, kind, hash, live``: all base spans, and further key-like runs if they are live. A value is live if
     fewer than ``example_owners`` owners hold it anywhere in the table, else a widely copied example. Values are known by

@@ -130,7 +130,7 @@ def judge(
     url = F.col(url_column).cast("string")
     host, path = host_of(url), path_of(url)
     base = numbered(urls, mark).select(
-        F.struct(*[F.col(c) for c in keep]).alias("kept"), F.col(mark).alias("row"), host.alias("host"), path.alias("path"),
+        F.struct(F.col(mark).alias("row"), *[F.col(c).alias(f"keep_{c}") for c in keep]).alias("kept"), host.alias("host"), path.alias("path"),
         rule_of(host, path, rules).alias("rule"), *[c.alias(n) for n, c in lexical(url, host, path).items()],
         *[c.alias(f"suffix_{n}") for n, c in suffixes(host).items()],
     )
@@ -138,7 +138,7 @@ def judge(
     base = base.withColumn("label", F.when(F.col("by_rule").isNotNull(), (F.col("by_rule") == "block").cast("double")))
     base = stage(base, "urls")
     total = base.agg(F.count("label").alias("n"), F.avg("label").alias("mean")).first()
-    kept = [F.col("kept")[c].alias(c) for c in keep]
+    kept = [F.col("kept")[f"keep_{c}"].alias(c) for c in keep]
     if not total["n"] or total["mean"] in (0.0, 1.0):
         score = F.lit(None if not total["n"] else 1.0 if total["mean"] else -1.0).cast("double")
     else:
@@ -152,7 +152,7 @@ def judge(
             base = base.withColumns({f"{level}_rows": F.log1p(n.cast("double")), f"{level}_rate": (blocked + PRIOR_ROWS * total["mean"]) / (n + PRIOR_ROWS)})
             base = base.drop("_n", "_blocked")
             names += [f"{level}_rows", f"{level}_rate"]
-        picked = F.pmod(F.xxhash64("row"), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, train_rows / total["n"])))
+        picked = F.pmod(F.xxhash64("kept.row"), F.lit(1_000_000)) < F.lit(int(1_000_000 * min(1.0, train_rows / total["n"])))
         train = stage(base.where(F.col("label").isNotNull() & picked).select("label", *names), "labelled-urls")
         if train.select("label").distinct().count() < 2:
             score = F.lit(2 * total["mean"] - 1)
