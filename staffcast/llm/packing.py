@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,8 +28,8 @@ MARK = b"<|endoftext|>"
 KIND = np.zeros(256, np.int8)
 KIND[0x21:0x7F] = 2
 KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
-ODD = np.zeros(256, np.int64)
-ODD[[0x27, 0x3C]] = 1
+ODD = np.zeros(256, bool)
+ODD[[0x27, 0x3C]] = True
 
 
 def units(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -37,16 +38,15 @@ def units(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nda
     It lower-cases, never joins what white space parts, and parts ASCII letters from ASCII digits and punctuation. Not so
     around an apostrophe (``it's``), nor in what may be the name of a special token: such words stay as they are.
     """
-    odd = np.concatenate([[0], np.cumsum(ODD[raw])])
-    plain = odd[ends] == odd[starts]
+    odd = np.flatnonzero(ODD[raw])
+    plain = np.ones(len(starts), bool)
+    plain[np.searchsorted(starts, odd, "right") - 1] = False
     kind = KIND[raw]
-    edges = np.flatnonzero((kind[1:] + kind[:-1] == 3)) + 1
-    if len(edges):
-        word = np.searchsorted(starts, edges, "right") - 1
-        inside = (word >= 0) & (edges < ends[np.maximum(word, 0)]) & plain[np.maximum(word, 0)]
-        edges, word = edges[inside], word[inside]
-    else:
-        word = edges
+    edges = np.flatnonzero(kind[1:] + kind[:-1] == 3) + 1
+    word = np.searchsorted(starts, edges, "right") - 1
+    # Two texts meet without white space between them, and then an edge is a word's beginning.
+    inside = (starts[word] < edges) & plain[word]
+    edges, word = edges[inside], word[inside]
     before = np.arange(len(starts) + 1) + np.concatenate([[0], np.cumsum(np.bincount(word, minlength=len(starts)))])
     text = LOWER[raw]
     for i in np.flatnonzero(~plain).tolist():
@@ -97,7 +97,9 @@ class WordTokens:
         starts, ends, first = word_spans(at, raw, UNSPACED)
         raw, starts, ends, before = units(raw, starts, ends)
         first = before[first]
-        hashes, sample, inverse = np.unique(WORDS(raw, starts, ends), return_index=True, return_inverse=True)
+        inverse, hashes = pd.factorize(WORDS(raw, starts, ends))
+        highest = np.maximum.accumulate(inverse)
+        sample = np.flatnonzero(np.diff(highest, prepend=-1))  # where each was first seen
         if len(self.known) > CACHED_WORDS:
             self.known = {}
         known, hashes = self.known, hashes.tolist()
