@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,27 +27,46 @@ PATTERNS = {
     "phone": rf"(?<![0-9A-Za-z+])(?<![0-9][.,:/-])(?:\+[0-9]{{1,3}}[\x20.-]?\(?[0-9]{{2,4}}\)?(?:[\x20.-]?[0-9]{{2,4}}){{2,3}}|\(?[0-9]{{3}}\)?[\x20.-][0-9]{{3}}[\x20.-][0-9]{{4}}){END}",
 }
 KINDS = tuple(PATTERNS)
-ANY = "|".join(f"(?:{p.replace(chr(92) + '1', chr(92) + 'k<mark>').replace('([./])', '(?<mark>[./])')})" for p in PATTERNS.values())
-HINT = "[0-9]{2}|@"  # what any match contains
+
+
+def _any(kinds: tuple[str, ...]) -> str:
+    """One pattern for several kinds; its group of the date's mark has a name, as numbers of groups change."""
+    parts = (PATTERNS[k].replace("([./])", "(?<mark>[./])").replace(r"\1", r"\k<mark>") for k in kinds)
+    return "|".join(f"(?:{p})" for p in parts)
+
+
+# The first character tells most places apart before anything else is tried.
+NUMBERS = rf"(?=[0-9+(A-Z])(?:{_any(KINDS[1:])})"
+ANY = rf"{NUMBERS}|(?=[A-Za-z0-9]){_any(KINDS[:1])}"
+HINT = "[0-9]{2}"  # what any number contains
 
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)  # the days of 1900 to 2099
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: expressions in a lambda would be computed at each mention."""
+    return F.transform(F.array(value), use)[0]
+
+
 def permuted(value: Column, a: Column | int, b: Column | int, key: str, tweak: Column) -> Column:
     """``value`` in 0 .. a*b - 1 under a keyed permutation of that range: a Feistel network on (value / b, value mod b)."""
     a, b = (x if isinstance(x, Column) else F.lit(x).cast("long") for x in (a, b))
 
-    def step(s: Column, i: Column) -> Column:
-        known = F.when(i % 2 == 0, s["right"]).otherwise(s["left"])
-        digest = F.sha2(F.concat_ws(":", F.lit(key), tweak, i.cast("string"), known.cast("string")), 256)
-        noise = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
-        return F.struct(
-            F.when(i % 2 == 0, F.pmod(s["left"] + noise % a, a)).otherwise(s["left"]).alias("left"),
-            F.when(i % 2 == 0, s["right"]).otherwise(F.pmod(s["right"] + noise % b, b)).alias("right"),
-        )
+    def network(p: Column) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            even = i % 2 == 0
+            known = F.when(even, s["right"]).otherwise(s["left"])
+            digest = F.sha2(F.concat_ws(":", F.lit(key), p["tweak"], i.cast("string"), known.cast("string")), 256)
+            sum_ = F.when(even, s["left"]).otherwise(s["right"]) + F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") % F.when(even, p["a"]).otherwise(p["b"])
+            new = F.pmod(sum_, F.when(even, p["a"]).otherwise(p["b"]))
+            return F.struct(F.when(even, new).otherwise(s["left"]).alias("left"), F.when(even, s["right"]).otherwise(new).alias("right"))
 
-    start = F.struct(((value - F.pmod(value, b)).cast("decimal(20,0)") / b.cast("decimal(20,0)")).cast("long").alias("left"), F.pmod(value, b).alias("right"))
-    return F.aggregate(F.array(*[F.lit(i) for i in range(ROUNDS)]), start, step, lambda s: s["left"] * b + s["right"])
+        right = F.pmod(p["value"], p["b"])
+        left = ((p["value"] - right).cast("decimal(20,0)") / p["b"].cast("decimal(20,0)")).cast("long")
+        rounds = F.array(*[F.lit(i) for i in range(ROUNDS)])
+        return F.aggregate(rounds, F.struct(left.alias("left"), right.alias("right")), step, lambda s: s["left"] * p["b"] + s["right"])
+
+    return let(F.struct(value.alias("value"), a.alias("a"), b.alias("b"), tweak.alias("tweak")), network)
 
 
 def _power(base: int, n: Column, most: int) -> Column:
@@ -55,21 +74,39 @@ def _power(base: int, n: Column, most: int) -> Column:
     return F.element_at(F.array(*[F.lit(base**i).cast("long") for i in range(most + 1)]), n + 1)
 
 
-def permuted_digits(digits: Column, key: str, kind: str, most: int = 18) -> Column:
-    """A string of 1 to 18 digits under a permutation of all strings of its length."""
-    n = F.char_length(digits)
-    small = F.floor(n / 2).cast("int")
-    value = permuted(digits.cast("long"), _power(10, n - small, most), _power(10, small, most), key, F.concat(F.lit(f"{kind}:"), n.cast("string")))
-    return F.lpad(value.cast("string"), n, F.lit("0"))
+def permuted_digits(digits: Column, key: str, kind: str, base: int = 10, most: int = 18) -> Column:
+    """A string of digits to a base, at most ``most`` of them, under a permutation of all strings of its length."""
+
+    def change(d: Column) -> Column:
+        n = F.char_length(d)
+        small = F.floor(n / 2).cast("int")
+        new = permuted(F.conv(d, base, 10).cast("long"), _power(base, n - small, most), _power(base, small, most), key, F.concat(F.lit(f"{kind}:"), n.cast("string")))
+        return F.lpad(F.lower(F.conv(new.cast("string"), 10, base)), n, F.lit("0"))
+
+    return let(digits, change)
+
+
+def permuted_runs(digits: Column, key: str, kind: str, base: int, most: int) -> Column:
+    """A string of any length, ``most`` digits at a time; the empty one stays."""
+
+    def change(d: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.char_length(d), F.lit(most)), lambda i: permuted_digits(F.substr(d, i, F.lit(most)), key, kind, base, most))
+        return F.when(d == "", d).otherwise(F.array_join(runs, ""))
+
+    return let(digits, change)
 
 
 def refilled(text: Column, kind: str, characters: Column) -> Column:
     """``text`` with its characters of a class replaced, one after the other, by those of a string of their number."""
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("n"))
-    step = lambda s, c: F.when(
-        c.rlike(kind), F.struct(F.concat(s["out"], F.substr(characters, s["n"] + 1, F.lit(1))).alias("out"), (s["n"] + 1).alias("n"))
-    ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["n"].alias("n")))
-    return F.aggregate(F.split(text, ""), start, step)["out"]
+
+    def fill(new: Column) -> Column:
+        step = lambda s, c: F.when(
+            c.rlike(kind), F.struct(F.concat(s["out"], F.substr(new, s["n"] + 1, F.lit(1))).alias("out"), (s["n"] + 1).alias("n"))
+        ).otherwise(F.struct(F.concat(s["out"], c).alias("out"), s["n"].alias("n")))
+        return F.aggregate(F.split(text, ""), start, step)["out"]
+
+    return let(characters, fill)
 
 
 def digits_of(text: Column) -> Column:
@@ -78,13 +115,15 @@ def digits_of(text: Column) -> Column:
 
 def luhn_sum(digits: Column) -> Column:
     """Sum of digits with every second from the right doubled, modulo 10."""
-    n = F.char_length(digits)
 
-    def worth(i: Column) -> Column:
-        d = F.substr(digits, n - i, F.lit(1)).cast("int")
-        return F.when(i % 2 == 0, d).otherwise(F.when(d > 4, 2 * d - 9).otherwise(2 * d))
+    def total(d: Column) -> Column:
+        def worth(i: Column) -> Column:
+            own = F.substr(d, F.char_length(d) - i, F.lit(1)).cast("int")
+            return F.when(i % 2 == 0, own).otherwise(2 * own - F.when(own > 4, 9).otherwise(0))
+
+        return F.aggregate(F.sequence(F.lit(0), F.char_length(d) - 1), F.lit(0), lambda s, i: s + worth(i)) % 10
 
-    return F.aggregate(F.transform(F.sequence(F.lit(0), n - 1), worth), F.lit(0), lambda a, b: a + b) % 10
+    return let(digits, total)
 
 
 def iban_rest(text: Column) -> Column:
@@ -97,81 +136,85 @@ def iban_rest(text: Column) -> Column:
     return F.aggregate(F.split(moved, ""), F.lit(0), step)
 
 
-def _card(text: Column, key: str) -> tuple[Column, Column]:
-    digits = digits_of(text)
-    n = F.char_length(digits)
-    body = F.concat(F.substr(digits, F.lit(1), F.lit(1)), permuted_digits(F.substr(digits, F.lit(2), n - 2), key, "card"))
-    check = F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))), F.lit(10)).cast("string")
-    valid = (luhn_sum(digits) == 0) & digits.rlike("[1-9]")
-    return valid, refilled(text, "[0-9]", F.concat(body, check))
+def _card(text: Column, key: str) -> Column:
+    """The first digit stays, the last is made anew to check."""
+
+    def change(d: Column) -> Column:
+        body = F.concat(F.substr(d, F.lit(1), F.lit(1)), permuted_digits(F.substr(d, F.lit(2), F.char_length(d) - 2), key, "card"))
+        whole = let(body, lambda b: F.concat(b, F.pmod(10 - luhn_sum(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
+        return F.when((luhn_sum(d) == 0) & d.rlike("[1-9]"), refilled(text, "[0-9]", whole))
+
+    return let(digits_of(text), change)
 
 
-def _iban(text: Column, key: str) -> tuple[Column, Column]:
+def _iban(text: Column, key: str) -> Column:
     """The digits after the check digits are permuted (in runs of 18), letters stay, and the check digits are made anew."""
-    tail = F.substr(text, F.lit(5))
-    digits = digits_of(tail)
-    parts = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(digits), F.lit(1)), F.lit(18)), lambda i: F.substr(digits, i, F.lit(18)))
-    parts = F.transform(parts, lambda p, i: F.when(p == "", p).otherwise(permuted_digits(F.when(p == "", F.lit("0")).otherwise(p), key, "iban")))
-    zero = F.concat(F.substr(text, F.lit(1), F.lit(2)), F.lit("00"), refilled(tail, "[0-9]", F.array_join(parts, "")))
-    check = F.lpad((98 - iban_rest(zero)).cast("string"), F.lit(2), F.lit("0"))
-    return iban_rest(text) == 1, F.concat(F.substr(text, F.lit(1), F.lit(2)), check, F.substr(zero, F.lit(5)))
+    country, tail = F.substr(text, F.lit(1), F.lit(2)), F.substr(text, F.lit(5))
 
+    def checked(rest: Column) -> Column:
+        check = 98 - iban_rest(F.concat(country, F.lit("00"), rest))
+        return F.concat(country, F.lpad(check.cast("string"), F.lit(2), F.lit("0")), rest)
 
-def _ip(text: Column, key: str) -> tuple[Column, Column]:
+    return F.when(iban_rest(text) == 1, let(refilled(tail, "[0-9]", permuted_runs(digits_of(tail), key, "iban", 10, 18)), checked))
+
+
+def _ip(text: Column, key: str) -> Column:
     value = F.aggregate(F.split(text, r"\."), F.lit(0).cast("long"), lambda s, x: s * 256 + x.cast("long"))
-    new = permuted(value, 65_536, 65_536, key, F.lit("ip"))
-    return F.lit(True), F.concat_ws(".", *[F.pmod(F.shiftrightunsigned(new, 8 * i), F.lit(256)).cast("string") for i in (3, 2, 1, 0)])
+    dotted = lambda v: F.concat_ws(".", *[F.pmod(F.shiftrightunsigned(v, 8 * i), F.lit(256)).cast("string") for i in (3, 2, 1, 0)])
+    return let(permuted(value, 65_536, 65_536, key, F.lit("ip")), dotted)
 
 
-def _date(text: Column, key: str) -> tuple[Column, Column]:
+def _date(text: Column, key: str) -> Column:
     """ISO dates; with points the day comes first; with slashes the month, or the day where only that is a date."""
     formats = {"yyyy-MM-dd": text.contains("-"), "dd.MM.yyyy": text.contains("."), "MM/dd/yyyy": text.contains("/"), "dd/MM/yyyy": text.contains("/")}
-    day = lambda f: F.try_to_date(text, f)
-    read = {f: F.when(fits, day(f)) for f, fits in formats.items()}
-    value = F.coalesce(*read.values())
     a, b = DAYS
-    number = F.date_diff(value, F.lit(FIRST_DAY).cast("date")).cast("long")
-    valid = value.isNotNull() & number.between(0, a * b - 1)
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), permuted(F.when(valid, number).otherwise(F.lit(0)), a, b, key, F.lit("date")).cast("int"))
-    return valid, F.coalesce(*[F.when(r.isNotNull(), F.date_format(new, f)) for f, r in read.items()])
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def change(day: Column) -> Column:
+        number = F.date_diff(day["on"], first).cast("long")
+        new = let(permuted(number, a, b, key, F.lit("date")), lambda n: F.date_add(first, n.cast("int")))
+        return F.when(number.between(0, a * b - 1), let(new, lambda d: F.coalesce(*[F.when(day["as"] == f, F.date_format(d, f)) for f in formats])))
+
+    read = [F.when(fits, F.try_to_date(text, f)) for f, fits in formats.items()]
+    found = F.coalesce(*[F.when(r.isNotNull(), F.struct(r.alias("on"), F.lit(f).alias("as"))) for r, f in zip(read, formats, strict=True)])
+    return let(found, change)
 
 
-def _ssn(text: Column, key: str) -> tuple[Column, Column]:
+def _ssn(text: Column, key: str) -> Column:
     """Areas 001 to 899 but 666, groups 01 to 99, serials 0001 to 9999."""
     area, group, serial = (F.substr(text, F.lit(at), F.lit(n)).cast("long") for at, n in ((1, 3), (5, 2), (8, 4)))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     place = area - 1 - (area > 666).cast("long")
-    new = permuted((place * 99 + group - 1) * 9999 + serial - 1, 898 * 99, 9999, key, F.lit("ssn"))
-    rest, serial_of = F.floor(new / 9999).cast("long"), F.pmod(new, F.lit(9999)) + 1
-    area_of = F.floor(rest / 99).cast("long") + 1
-    area_of = area_of + (area_of >= 666).cast("long")
     pad = lambda c, n: F.lpad(c.cast("string"), F.lit(n), F.lit("0"))
-    return valid, F.concat_ws("-", pad(area_of, 3), pad(F.pmod(rest, F.lit(99)) + 1, 2), pad(serial_of, 4))
 
+    def spelled(new: Column) -> Column:
+        rest = F.floor(new / 9999).cast("long")
+        area_of = F.floor(new / (9999 * 99)).cast("long") + 1
+        return F.concat_ws("-", pad(area_of + (area_of >= 666).cast("long"), 3), pad(F.pmod(rest, F.lit(99)) + 1, 2), pad(F.pmod(new, F.lit(9999)) + 1, 4))
 
-def _phone(text: Column, key: str) -> tuple[Column, Column]:
+    return F.when(valid, let(permuted((place * 99 + group - 1) * 9999 + serial - 1, 898 * 99, 9999, key, F.lit("ssn")), spelled))
+
+
+def _phone(text: Column, key: str) -> Column:
     """7 to 15 digits: the last ten are permuted, whatever country code they have; of fewer than ten the first stays."""
-    digits = digits_of(text)
-    n = F.char_length(digits)
-    first = F.when(n >= 10, n - 10).otherwise(F.lit(1))
-    new = F.concat(F.substr(digits, F.lit(1), first), permuted_digits(F.substr(digits, first + 1), key, "phone"))
-    return n.between(7, 15), refilled(text, "[0-9]", new)
+
+    def change(d: Column) -> Column:
+        n = F.char_length(d)
+        first = F.when(n >= 10, n - 10).otherwise(F.lit(1))
+        new = F.concat(F.substr(d, F.lit(1), first), permuted_digits(F.substr(d, first + 1), key, "phone"))
+        return F.when(n.between(7, 15), refilled(text, "[0-9]", new))
+
+    return let(digits_of(text), change)
 
 
-def _email(text: Column, key: str) -> tuple[Column, Column]:
+def _email(text: Column, key: str) -> Column:
     """Letters and digits before the ``@`` are permuted as numbers to base 36, ten at a time, without regard to case; the rest stays."""
-    local = F.lower(F.substring_index(text, "@", 1))
-    plain = F.regexp_replace(local, "[^0-9a-z]", "")
-    parts = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(plain), F.lit(1)), F.lit(10)), lambda i: F.substr(plain, i, F.lit(10)))
 
-    def change(p: Column) -> Column:
-        n = F.char_length(p)
-        small = F.floor(n / 2).cast("int")
-        new = permuted(F.conv(p, 36, 10).cast("long"), _power(36, n - small, 10), _power(36, small, 10), key, F.concat(F.lit("email:"), n.cast("string")))
-        return F.lpad(F.lower(F.conv(new.cast("string"), 10, 36)), n, F.lit("0"))
+    def change(local: Column) -> Column:
+        new = permuted_runs(F.regexp_replace(local, "[^0-9a-z]", ""), key, "email", 36, 10)
+        return F.concat(refilled(local, "[0-9a-z]", new), F.substr(text, F.char_length(local) + 1))
 
-    new = F.array_join(F.transform(parts, lambda p: F.when(p != "", change(p)).otherwise(p)), "")
-    return F.lit(True), F.concat(refilled(local, "[0-9a-z]", new), F.substr(text, F.char_length(local) + 1))
+    return let(F.lower(F.substring_index(text, "@", 1)), change)
 
 
 MAKERS = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
@@ -180,24 +223,25 @@ MAKERS = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn,
 def pseudonym(text: Column, key: str) -> Column:
     """``kind, text`` for one match: the first kind whose pattern it fits and which finds it valid; else no kind and the text."""
     same = F.struct(F.lit(None).cast("string").alias("kind"), text.alias("text"))
+    named = lambda kind: let(MAKERS[kind](text, key), lambda new: F.when(new.isNotNull(), F.struct(F.lit(kind).alias("kind"), new.alias("text"))))
+    return F.coalesce(*[F.when(text.rlike(f"^(?:{p})$"), named(kind)) for kind, p in PATTERNS.items()], same)
 
-    def add(rest: Column, kind: str) -> Column:
-        valid, new = MAKERS[kind](text, key)
-        return F.when(text.rlike(f"^(?:{PATTERNS[kind]})$") & valid, F.struct(F.lit(kind).alias("kind"), new.alias("text"))).otherwise(rest)
 
-    return reduce(add, reversed(KINDS), same)
+def _replaced(text: Column, pattern: str, key: str) -> Column:
+    """``text`` with pseudonyms for all valid matches of a pattern, and their ``kinds``; texts are searched once for each."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: pseudonym(m, key))
+    some = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("new"))
+    whole = lambda x: F.struct(
+        F.array_join(F.transform(x, lambda y: F.concat(y["gap"], F.coalesce(y["new"]["text"], F.lit("")))), "").alias("text"),
+        F.filter(F.transform(x, lambda y: y["new"]["kind"]), lambda k: k.isNotNull()).alias("kinds"),
+    )
+    return let(some, whole)
 
 
 def protected(text: Column, key: str) -> Column:
     """``text`` with pseudonyms, and the ``kinds`` that were replaced, in order; null stays null."""
-    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: pseudonym(m, key))
-    some = F.arrays_zip(F.split(text, ANY, -1).alias("gap"), found.alias("new"))
-    new = F.struct(
-        F.array_join(F.transform(some, lambda x: F.concat(x["gap"], F.coalesce(x["new"]["text"], F.lit("")))), "").alias("text"),
-        F.filter(F.transform(some, lambda x: x["new"]["kind"]), lambda k: k.isNotNull()).alias("kinds"),
-    )
     same = F.struct(text.alias("text"), F.array().cast("array<string>").alias("kinds"))
-    return F.when(text.rlike(HINT) & text.rlike(ANY), new).otherwise(same)
+    return F.when(text.contains("@"), _replaced(text, ANY, key)).when(text.rlike(HINT), _replaced(text, NUMBERS, key)).otherwise(same)
 
 
 def pseudonymized(docs: DataFrame, text_column: str, key: str, kinds_column: str | None = None) -> DataFrame:
