@@ -447,13 +447,13 @@ def count_delims(spark, sf_dir):
 
 @query(
     "num_languages",
-    _sql("""SELECT request_code, CAST(CASE WHEN languages IS NULL OR len(string_split(languages, '|')) >= 20 THEN 0
+    _sql("""SELECT request_code, CAST(CASE WHEN languages IS NULL THEN 0
       ELSE len(string_split(languages, '|')) END AS INTEGER) AS n, coalesce(languages, 'No') AS languages FROM requests"""),
 )
 def num_languages(spark, sf_dir):
     listed = F.col("languages")
     return V.requests(spark, sf_dir).select(
-        "request_code", text.language_count(listed).alias("n"), F.coalesce(listed, F.lit(S.NO_LANGUAGE)).alias("languages")
+        "request_code", text.count_values(listed).alias("n"), F.coalesce(listed, F.lit(S.NO_LANGUAGE)).alias("languages")
     )
 
 

@@ -44,17 +44,27 @@ def _rare_sql(column: str, percent: float, source: str) -> str:
     )
 
 
-@query(
-    "group_rare",
-    _sql(
-        f"SELECT request_code, {_rare_sql('region', 4, 'zoned')} AS region, {_rare_sql('job_role', 16.6, 'zoned')} AS job_role, "
-        f"CASE WHEN {_rare_sql('zone', 2, 'zoned')} = 'Any location' THEN 'Any location' ELSE 'Localized' END AS zone FROM zoned",
+def _rare_query(region, job_role, zone):
+    return _sql(
+        f"SELECT request_code, {_rare_sql('region', region, 'zoned')} AS region, {_rare_sql('job_role', job_role, 'zoned')} AS job_role, "
+        f"CASE WHEN {_rare_sql('zone', zone, 'zoned')} = 'Any location' THEN 'Any location' ELSE 'Localized' END AS zone FROM zoned",
         V.ELIGIBLE_SQL + f", zoned AS (SELECT *, {ZONE_SQL} AS zone FROM eligible)",
-    ),
-)
+    )
+
+
+@query("group_rare_defaults", _rare_query(V.CONF.region_percent, V.CONF.role_percent, V.CONF.zone_percent))
+def group_rare_defaults(spark, sf_dir):
+    return _grouped(spark, sf_dir, V.CONF.region_percent, V.CONF.role_percent, V.CONF.zone_percent)
+
+
+@query("group_rare", _rare_query(4, 16.6, 2))
 def group_rare(spark, sf_dir):
+    return _grouped(spark, sf_dir, 4, 16.6, 2)
+
+
+def _grouped(spark, sf_dir, region, job_role, zone):
     rows = V.eligible(spark, sf_dir).withColumn("zone", text.work_zone(F.col("work_area")))
-    kept = shares.frequent_values(rows, {"region": 4, "job_role": 16.6, "zone": 2})
+    kept = shares.frequent_values(rows, {"region": region, "job_role": job_role, "zone": zone})
     zone = shares.group_rare(F.col("zone"), kept["zone"])
     return rows.select(
         "request_code",
@@ -324,9 +334,19 @@ for _key, _column in BIN_CHECKS.items():
 # ---- sorts, limits, splits, set operations -----------------------------------------
 
 
-@query("sort_desc", "SELECT p_partkey, p_retailprice FROM part ORDER BY p_retailprice DESC, p_partkey")
+@query("sort_desc", "SELECT p_partkey, p_retailprice, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) - 1 AS place FROM part")
 def sort_desc(spark, sf_dir):
-    return V.table(spark, sf_dir, "part").select("p_partkey", "p_retailprice").orderBy(F.desc("p_retailprice"), "p_partkey")
+    """Rows in descending order; ``place`` is counted over the sorted partitions, without one task for all."""
+    rows = V.table(spark, sf_dir, "part").select("p_partkey", "p_retailprice").orderBy(F.desc("p_retailprice"), "p_partkey")
+    rows = stage(rows.withColumn("at", F.monotonically_increasing_id()), "sorted")
+    part, place = F.shiftright("at", 33), F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = {r["part"]: r["n"] for r in rows.groupBy(part.alias("part")).count().withColumnRenamed("count", "n").collect()}
+    before, total = [], 0
+    for p in sorted(counts):
+        before.append((p, total))
+        total += counts[p]
+    starts = spark.createDataFrame(before, "part long, before long")
+    return rows.withColumn("part", part).join(F.broadcast(starts), "part").select("p_partkey", "p_retailprice", (F.col("before") + place).alias("place"))
 
 
 @query(
@@ -386,16 +406,12 @@ def join_target(spark, sf_dir):
 
 @query(
     "null_profile",
-    _sql("""SELECT count(*) AS n_rows, 6 AS n_columns, CAST(sum(CAST(languages IS NULL AS INTEGER) + CAST(work_area IS NULL AS INTEGER)
-      + CAST(job_level IS NULL AS INTEGER) + CAST(consolidation_probability IS NULL AS INTEGER)
-      + CAST(coverage_probability IS NULL AS INTEGER) + CAST(closure_date IS NULL AS INTEGER)) AS BIGINT) AS n_missing FROM requests"""),
+    _sql("""SELECT count(*) AS n_rows, CAST(any_value(len(cells)) AS INTEGER) AS n_columns,
+      CAST(sum(len(list_filter(cells, lambda c: c IS NULL))) AS BIGINT) AS n_missing
+      FROM (SELECT [CAST(COLUMNS(*) AS VARCHAR)] AS cells FROM requests)"""),
 )
 def null_profile(spark, sf_dir):
-    return profile.null_profile(
-        V.requests(spark, sf_dir).select(
-            "languages", "work_area", "job_level", "consolidation_probability", "coverage_probability", "closure_date"
-        )
-    )
+    return profile.null_profile(V.requests(spark, sf_dir))
 
 
 @query(
@@ -513,6 +529,20 @@ def one_hot(spark, sf_dir):
     return orders.select("o_orderkey", *[c.alias(name) for name, c in columns.items()])
 
 
+@query(
+    "one_hot_wide",
+    """WITH pairs AS (SELECT DISTINCT unnest(['p_name', 'p_brand']) AS c, unnest([p_name, p_brand]) AS v FROM part),
+    places AS (SELECT c, v, row_number() OVER (ORDER BY c COLLATE "C", v COLLATE "C") - 1 AS at FROM pairs WHERE v IS NOT NULL)
+    SELECT p_partkey, unnest([n.at, b.at]) AS position FROM part JOIN places n ON n.c = 'p_name' AND n.v = p_name
+      JOIN places b ON b.c = 'p_brand' AND b.v = p_brand""",
+)
+def one_hot_wide(spark, sf_dir):
+    """One-hot positions of columns with very many values."""
+    part = V.table(spark, sf_dir, "part")
+    made = encoding.one_hot_sparse(part, "p_partkey", encoding.fit_index(part, ["p_name", "p_brand"]))
+    return made.select("p_partkey", F.explode("positions").alias("position"))
+
+
 @query("align_columns", "SELECT p_partkey, p_size, 0.0::DOUBLE AS absent, p_retailprice FROM part")
 def align_columns(spark, sf_dir):
     return encoding.align_columns(V.table(spark, sf_dir, "part"), ["p_partkey"], ["p_size", "absent", "p_retailprice"])
@@ -631,8 +661,5 @@ def new_defaults(spark, sf_dir):
     partial = new.withColumns(
         {c: F.when(F.col("request_difficulty") < 2, F.col(c)) for c in upsert.DEFAULT_MEDIANS}
     ).withColumn("change_date", F.lit(None).cast("date"))
-    medians = {
-        c: stage(fallback.group_median(known, k, c, "median"), "medians") for c, k in upsert.DEFAULT_MEDIANS.items()
-    }
-    done = upsert.new_request_defaults(partial, medians, V.AS_OF)
+    done = upsert.new_request_defaults(partial, upsert.default_medians(known), V.AS_OF)
     return done.select("request_code", "status", "positions_filled", *upsert.DEFAULT_MEDIANS)

@@ -13,14 +13,23 @@ from staffcast import settings as S
 # Letters without a decomposition, with their usual spelling in plain letters (fixed values).
 SPELLED_OUT = {"ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ð": "d", "þ": "th", "ł": "l", "ı": "i"}
 
-# Tokens are runs of two or more word characters (fixed value).
-TOKEN_PATTERN = r"\w\w+"
+# Tokens are runs of two or more word characters of any script (fixed value).
+TOKEN_PATTERN = r"(?U)\w\w+"
+
+# Spellings of a day that are understood, tried in this order; a time may follow the first.
+DAY_PATTERNS = (
+    (r"^(\d{4}-\d{2}-\d{2})(?:[T ].*)?$", "yyyy-MM-dd"),
+    (r"^(\d{4}/\d{2}/\d{2})$", "yyyy/MM/dd"),
+    (r"^(\d{8})$", "yyyyMMdd"),
+    (r"^(\d{2}/\d{2}/\d{4})$", "dd/MM/yyyy"),
+    (r"^(\d{2}\.\d{2}\.\d{4})$", "dd.MM.yyyy"),
+)
 
 
 def _accented_letters() -> tuple[str, str]:
     """Lower-case Latin letters that decompose into a plain letter plus marks, and those plain letters."""
     accented, plain = [], []
-    for code in range(0x00C0, 0x0250):
+    for code in (*range(0x00C0, 0x0250), *range(0x1E00, 0x1F00)):
         letter = chr(code)
         base = unicodedata.normalize("NFD", letter)[0]
         if letter == letter.lower() and base != letter and base.isascii():
@@ -33,8 +42,9 @@ ACCENTED, PLAIN = _accented_letters()
 
 
 def fold_text(text: Column) -> Column:
-    """Lower-case without accents; a missing text is empty."""
+    """Lower-case without accents, also those written as marks of their own; a missing text is empty."""
     folded = F.translate(F.lower(F.coalesce(text, F.lit(""))), ACCENTED, PLAIN)
+    folded = F.regexp_replace(folded, r"\p{M}+", "")
     for letter, spelling in SPELLED_OUT.items():
         folded = F.replace(folded, F.lit(letter), F.lit(spelling))
     return folded
@@ -64,11 +74,6 @@ def several_values(delimited: Column) -> Column:
     return (count_values(delimited) > 1).cast("int")
 
 
-def language_count(languages: Column) -> Column:
-    slots = count_values(languages)
-    return F.when(slots >= S.LANGUAGE_SLOTS_LIMIT, 0).otherwise(slots)
-
-
 def split_values(delimited: Column, missing: str | None = None) -> Column:
     """Trimmed slots of a ``|``-separated list."""
     filled = delimited if missing is None else F.coalesce(delimited, F.lit(missing))
@@ -103,8 +108,14 @@ def lead_sign(created: Column, needed: Column) -> Column:
 
 
 def to_day(value: Column) -> Column:
-    """Day of a text like 2025-03-01, possibly with a time after it; NULL if it is none."""
-    return F.try_to_date(F.substring(value.cast("string"), 1, 10), "yyyy-MM-dd")
+    """Day of a text in one of the spellings of ``DAY_PATTERNS``; NULL if it is none."""
+    text = F.trim(value.cast("string"))
+    return F.coalesce(*[F.try_to_date(F.regexp_extract(text, p, 1), form) for p, form in DAY_PATTERNS])
+
+
+def unread_day(value: Column) -> Column:
+    """1 for a text that should be a day and isn't understood."""
+    return (value.isNotNull() & (F.trim(value.cast("string")) != "") & to_day(value).isNull()).cast("int")
 
 
 def iso_day(day: Column) -> Column:

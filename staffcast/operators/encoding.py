@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from staffcast import settings as S
 from staffcast.functions.text import split_values, tokens
 from staffcast.functions.wide import quoted
+from staffcast.staging import lookup_join, stage
 
 # Columns a fitted list may turn into before the caller must choose the long or vector form.
 MAX_COLUMNS = 20_000
@@ -24,6 +25,20 @@ def _bounded_list(df: DataFrame, what: str) -> list[tuple]:
     return sorted(tuple(r) for r in rows)
 
 
+def distinct_names(names: Sequence[str]) -> list[str]:
+    """The names, with a number after each that is taken already; Spark tells names apart without regard to case."""
+    taken: set[str] = {n.lower() for n in names}
+    seen: set[str] = set()
+    out = []
+    for name in names:
+        unique, n = name, 2
+        while unique.lower() in seen or (unique != name and unique.lower() in taken):
+            unique, n = f"{name}_{n}", n + 1
+        seen.add(unique.lower())
+        out.append(unique)
+    return out
+
+
 # ---- multi-value lists ---------------------------------------------------------
 
 
@@ -50,7 +65,7 @@ def value_columns(column: str, values: Sequence[str], prefix: str) -> dict[str,
     def count(wanted: str) -> Column:
         return F.coalesce(F.size(F.filter(slots, lambda s: s == wanted)), F.lit(0))
 
-    return {f"{prefix}{v}": count(v) for v in values}
+    return {name: count(v) for name, v in zip(distinct_names([f"{prefix}{v}" for v in values]), values)}
 
 
 # ---- keywords ------------------------------------------------------------------
@@ -104,9 +119,11 @@ def add_term_columns(
         "_counts", vector_to_array("_counts")
     )
     at = {t: i for i, t in enumerate(terms)}
+    merged = merge_terms(terms)
+    names = distinct_names([prefix + name for name in merged])
     columns = [
-        f"CAST({' + '.join(f'_counts[{at[m]}]' for m in members)} AS INT) AS {quoted(prefix + name)}"
-        for name, members in merge_terms(terms).items()
+        f"CAST({' + '.join(f'_counts[{at[m]}]' for m in members)} AS INT) AS {quoted(name)}"
+        for name, members in zip(names, merged.values())
     ]
     return counted.selectExpr(*[quoted(c) for c in df.columns], *columns)
 
@@ -125,17 +142,50 @@ def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]
 
 def one_hot_columns(categories: Mapping[str, Sequence[str]]) -> dict[str, Column]:
     """0/1 column per category; a missing value gives zeros."""
-    return {
-        f"{c}_{v}": F.col(c).eqNullSafe(F.lit(v)).cast("int") for c, values in categories.items() for v in values
-    }
+    pairs = [(c, v) for c, values in categories.items() for v in values]
+    names = distinct_names([f"{c}_{v}" for c, v in pairs])
+    return {name: F.col(c).eqNullSafe(F.lit(v)).cast("int") for name, (c, v) in zip(names, pairs)}
 
 
 def one_hot_long(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Long form for any number of categories: key, column, value of the cells that are 1."""
-    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
     return df.select(key, pairs).filter("value is not null")
 
 
+def fit_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Table ``column, value, position`` of all values of several columns, for any number of them.
+
+    Positions follow column and value, counted over range partitions, so no task holds all values.
+    """
+    pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
+    found = df.select(pairs).filter("value IS NOT NULL").distinct().orderBy("column", "value")
+    found = stage(found.withColumn("_at", F.monotonically_increasing_id()), "values")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = {r["_part"]: r["n"] for r in found.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).collect()}
+    before, total = [], 0
+    for p in sorted(sizes):
+        before.append((p, total))
+        total += sizes[p]
+    starts = df.sparkSession.createDataFrame(before, "_part long, _before long")
+    numbered = found.withColumn("_part", part).join(F.broadcast(starts), "_part")
+    return stage(numbered.select("column", "value", (F.col("_before") + place).alias("position")), "index")
+
+
+def one_hot_sparse(df: DataFrame, key: str, index: DataFrame) -> DataFrame:
+    """Key and ``positions``: of each row the ascending positions of its values in a staged :func:`fit_index`.
+
+    The sparse form of one-hot columns: cost follows the cells that are 1, not the number of values.
+    """
+    columns = [r["column"] for r in index.select("column").distinct().collect()]
+    cells = one_hot_long(df, key, columns) if columns else None
+    if cells is None:
+        return df.select(key, F.array().cast("array<long>").alias("positions"))
+    met = lookup_join(cells, index, ["column", "value"], how="inner")
+    lists = met.groupBy(key).agg(F.array_sort(F.collect_list("position")).alias("positions"))
+    return df.select(key).join(lists, key, "left").withColumn("positions", F.coalesce("positions", F.array().cast("array<long>")))
+
+
 def align_columns(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """The saved columns in the saved order; a column that is absent is 0."""
     present = set(df.columns)

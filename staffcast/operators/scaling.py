@@ -25,7 +25,9 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> dict[str, ColumnStats
     """Statistics of all columns in one pass; the shuffle carries one row per task and column."""
     if not columns:
         return {}
-    per_column = long_form(df, columns).groupBy("pos").agg(
+    # An infinite value counts as missing: it would leave no bounds to scale by.
+    finite = F.abs("value") < float("inf")
+    per_column = long_form(df, columns).withColumn("value", F.when(finite, F.col("value"))).groupBy("pos").agg(
         F.count("value").alias("n"), F.avg("value").alias("mean"),
         F.min("value").alias("least"), F.max("value").alias("greatest"),
     )
@@ -44,12 +46,13 @@ def bounds_of(stats: Mapping[str, ColumnStats]) -> dict[str, tuple[float | None,
 
 
 def scaled(column: str, bounds: tuple[float | None, float | None]) -> str:
-    """SQL: position of a column within its bounds; 0 if it is constant, NULL for a missing value."""
+    """SQL: position of a column within its bounds; 0 if it is constant, NULL for a missing or infinite value."""
     low, high = bounds
     name = quoted(column)
     if low is None:
         return f"CAST(NULL AS DOUBLE) AS {name}"
-    shifted = f"CAST({name} AS DOUBLE) - {_double(low)}"
+    value = f"CAST({name} AS DOUBLE)"
+    shifted = f"CASE WHEN abs({value}) < double('infinity') THEN {value} - {_double(low)} END"
     if low == high:
         return f"{shifted} AS {name}"
     return f"({shifted}) / {_double(high - low)} AS {name}"

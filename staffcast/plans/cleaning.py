@@ -10,7 +10,6 @@ from staffcast.functions import rules
 from staffcast.functions.text import clean_profile
 from staffcast.operators import filters
 from staffcast.settings import Settings
-from staffcast.sources.schemas import UNUSED_REQUEST_COLUMNS
 
 
 def settle(df: DataFrame, conf: Settings) -> DataFrame:
@@ -46,7 +45,7 @@ def clean_requests(df: DataFrame, conf: Settings) -> DataFrame:
         F.col("status"), F.col("positions_filled"), F.col("duration"), F.col("coverage_rate"),
         conf.target_days, conf.large_request_rule,
     )
-    return rows.withColumn("target", target).drop(*UNUSED_REQUEST_COLUMNS)
+    return rows.withColumn("target", target)
 
 
 def clean_salary(df: DataFrame) -> DataFrame:

@@ -19,7 +19,6 @@ from staffcast.functions import rules, text
 from staffcast.operators import binning, correlation, encoding, fallback, filters, profile, rates, scaling, shares
 from staffcast.plans.cleaning import clean_requests, clean_salary
 from staffcast.settings import Settings
-from staffcast.sources.schemas import FEATURE_SOURCE_COLUMNS
 from staffcast.staging import stage
 
 KEY = "request_code"
@@ -47,12 +46,15 @@ BINS = {
 }
 # Columns that only serve to compute others (fixed names).
 SPENT = (
-    "minimum_requirements", "client_code", "final_client", "sales_agent", "hr_manager", "languages",
+    "minimum_requirements", "client_code", "sales_agent", "hr_manager", "languages",
     "desired_salary", "average_salary", "average_salary_12", "consolidation_probability",
-    "coverage_probability", "rate_type", "region", "request_type", "job_role",
-    "request_creation_date", "need_date", "work_area", "work_zone", "community_tech_hours",
+    "coverage_probability", "rate_type", "region", "job_role",
+    "request_creation_date", "need_date", "work_area", "community_tech_hours",
     "applicant_tech_hours_12", "applicant_tenure", "tech_tenure",
 )
+# Columns that are features themselves (fixed names).
+DIRECT = ("required_positions", "priority", "service_type", "remote_work", "tech_hours", "request_difficulty", "job_level")
+SOURCES = (*DIRECT, *SPENT, "target")
 # Salary-dependent columns that models do not see (fixed names).
 SALARY_DEPENDENT = (
     "RequestSalary", "SalaryQuartile", "SalaryDecile", "DesiredSalaryRatio", "DesiredSalaryRatio12", "neg_corr",
@@ -80,7 +82,7 @@ class FeatureModel:
 
     def eligible(self, cleaned: DataFrame) -> DataFrame:
         """Cleaned rows that have a client, a job level and a plausible salary."""
-        rows = cleaned.select(KEY, *FEATURE_SOURCE_COLUMNS).na.drop(subset=["client_code"])
+        rows = cleaned.select(KEY, *SOURCES).na.drop(subset=["client_code"])
         return _plausible(rows)
 
     def fill(self, eligible: DataFrame) -> DataFrame:
@@ -111,7 +113,7 @@ class FeatureModel:
             }
         )
         negative = F.col("GroupedPosition").isin(*self.negative_roles) if self.negative_roles else F.lit(False)
-        return rows.withColumn("neg_corr", negative.cast("int")).drop(*SPENT)
+        return rows.withColumn("neg_corr", negative.cast("int")).drop("work_zone", *SPENT)
 
     def encode(self, described: DataFrame) -> DataFrame:
         """Numeric columns and one-hot categories, in the fitted order."""
@@ -169,7 +171,7 @@ def fit_features(
     folded = text.fold_text(F.col("minimum_requirements"))
     model.terms = encoding.fit_terms(cleaned, folded, model.stop_words, conf.min_word_share)
 
-    with_client = cleaned.select(KEY, *FEATURE_SOURCE_COLUMNS).na.drop(subset=["client_code"])
+    with_client = cleaned.select(KEY, *SOURCES).na.drop(subset=["client_code"])
     success = rates.success_rates(with_client, list(RATE_FLAGS), "target", conf.min_group_rows)
     model.tables["favourable"] = stage(rates.favourable_values(success, conf.favourable_quantile), "favourable")
     model.languages = [v for v in encoding.fit_values(with_client, "languages") if v != S.NO_LANGUAGE]
@@ -279,7 +281,7 @@ def _row_features() -> dict:
     return {
         "NumResponsible": text.count_values(managers),
         "MultiResponsible": text.several_values(managers),
-        "NumLanguages": text.language_count(F.col("languages")),
+        "NumLanguages": text.count_values(F.col("languages")),
         "JobLevelCategory": rules.job_level_band(F.col("job_level")),
         "ConsolProbCategory": rules.probability_band(F.col("ApplicantProbability")),
         "CoverageProbCategory": rules.probability_band(F.col("TechProbability")),

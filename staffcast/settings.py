@@ -46,8 +46,6 @@ TERM_GROUPS = {
 FULL_REMOTE_REQUEST, FULL_REMOTE_SALARY = "100% Remote", "Fully Remote"
 NEGOTIATED_RATE = "Negotiated Rate"
 NO_LANGUAGE = "No"
-# A NULL language list stands for this many slots; real lists at or above it count as none too.
-LANGUAGE_SLOTS_LIMIT = 20
 
 # Levels of the median fallback, most specific first.
 SALARY_LEVELS = (

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A lookup table is broadcast up to this many cells (rows x columns); beyond it the join shuffles.
-BROADCAST_CELLS = 1_000_000
-SALTS = 32
+# A lookup table is broadcast up to this many bytes of values; beyond it the join shuffles.
+BROADCAST_BYTES = 16_000_000
+
+# Paths staged in each open scope.
+_scopes: list[list[str]] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -27,7 +30,7 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Later passes then read a file with known size and pruned columns instead of repeating the
@@ -35,45 +38,59 @@ def stage(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFra
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/staged/{name}-{uuid.uuid4().hex}"
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    for scope in _scopes:
+        scope.append(path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged_until_end(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged in this block when it ends; results must be written elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def value_bytes(table: DataFrame) -> int:
+    """Bytes of all values of ``table``: texts and lists by their length, other values as eight."""
+
+    def width(name: str, kind: str):
+        value = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+        if kind.startswith(("array", "map", "struct")):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0)) + 8
+        return F.lit(8)
+
+    total = sum((width(*c).cast("long") for c in table.dtypes), F.lit(0).cast("long"))
+    return table.agg(F.coalesce(F.sum(total), F.lit(0))).first()[0]
+
+
 def broadcastable(table: DataFrame, limit: int | None = None) -> bool:
-    """True if ``table`` (staged, so counting it is cheap) is within the broadcast bound."""
-    limit = BROADCAST_CELLS if limit is None else limit
-    return table.count() * len(table.columns) <= limit
+    """True if ``table`` (staged, so measuring it is cheap) is within the broadcast bound."""
+    return value_bytes(table) <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def lookup_join(
-    df: DataFrame,
-    table: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    null_safe: bool = False,
-    limit: int | None = None,
-    salts: int = SALTS,
+    df: DataFrame, table: DataFrame, on: Sequence[str], how: str = "left", null_safe: bool = False, limit: int | None = None
 ) -> DataFrame:
-    """Join ``df`` with a staged lookup table on equally named keys.
+    """Join ``df`` with a staged lookup table, unique on equally named keys.
 
-    Small tables (counted, not guessed) are broadcast, so ``df`` is not shuffled. A larger table
-    is repeated once per salt and joined on (keys, salt): rows of one hot key then spread over
-    ``salts`` tasks.
+    Small tables (measured, not guessed) are broadcast, so ``df`` is not shuffled. With a larger one it is a plain sort-merge
+    join of ``df`` with a side that is unique: adaptive execution splits the rows of a hot key over many tasks, and
+    no row of the table is repeated beyond that.
     """
     keys = list(on)
     payload = [c for c in table.columns if c not in keys]
     right = table.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *payload)
-    if broadcastable(table, limit):
-        left, right, extra = df, F.broadcast(right), []
-    else:
-        left = df.withColumn("_salt", F.spark_partition_id() % F.lit(salts))
-        right = right.withColumn("_salt_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        extra = [F.col("_salt") == F.col("_salt_r")]
+    right = F.broadcast(right) if broadcastable(table, limit) else right.hint("merge")
     pairs = [
         F.col(k).eqNullSafe(F.col(f"_k_{k}")) if null_safe else F.col(k) == F.col(f"_k_{k}") for k in keys
     ]
-    joined = left.join(right, reduce(lambda a, b: a & b, pairs + extra), how)
-    return joined.drop("_salt", "_salt_r", *[f"_k_{k}" for k in keys])
+    joined = df.join(right, reduce(lambda a, b: a & b, pairs), how)
+    return joined.drop(*[f"_k_{k}" for k in keys])

@@ -94,6 +94,27 @@ def test_wide_lists_are_refused_with_a_way_out(spark, monkeypatch):
     assert encoding.one_hot_long(df, "k", ["v"]).count() == 5
 
 
+def test_names_that_differ_in_case_alone(spark):
+    df = spark.createDataFrame([(1, "High", "English|english", "c"), (2, "high", "english", "b_c"), (3, "HIGH", None, "x")], "i int, a string, l string, a_b string")
+    made = df.withColumns(encoding.value_columns("l", encoding.fit_values(df, "l"), "lang_"))
+    made = made.withColumns(encoding.one_hot_columns(encoding.fit_categories(df, ["a", "a_b"])))
+    got = {r["i"]: r.asDict() for r in made.collect()}
+    assert got[1]["lang_English"] == 1 and got[1]["lang_english_2"] == 1 and got[2]["lang_english_2"] == 1 and got[2]["lang_English"] == 0
+    assert [[got[i][c] for c in ("a_HIGH", "a_High_2", "a_high_3")] for i in (1, 2, 3)] == [[0, 1, 0], [0, 0, 1], [1, 0, 0]]
+    assert encoding.distinct_names(["x_2", "x", "X"]) == ["x_2", "x", "X_3"]
+
+
+def test_sparse_one_hot_has_no_limit(spark):
+    df = spark.range(30_000).select("id", F.concat(F.lit("v"), "id").alias("wide"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("few"))
+    index = encoding.fit_index(df, ["few", "wide"])
+    assert index.count() == 30_002
+    made = encoding.one_hot_sparse(df, "id", index)
+    at = {(r["column"], r["value"]): r["position"] for r in index.collect()}
+    assert sorted(at.values()) == list(range(30_002)) and at[("few", "1")] == 0
+    rows = made.filter("id IN (0, 4)").orderBy("id").collect()
+    assert [r["positions"] for r in rows] == [[at[("wide", "v0")]], [at[("few", "1")], at[("wide", "v4")]]]
+
+
 def test_one_hot_and_alignment(spark):
     df = spark.createDataFrame([(1, "x"), (2, "y z"), (3, None)], "i int, s string")
     categories = encoding.fit_categories(df, ["s"])

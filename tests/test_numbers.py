@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from staffcast.functions.wide import double_array
 from staffcast.operators import binning, correlation, fallback, outliers, quantiles, scaling
-from staffcast.staging import lookup_join, stage
+from staffcast.staging import broadcastable, lookup_join, stage, value_bytes
 
 
 def hot_groups():
@@ -73,13 +73,34 @@ def test_bins_refuse_equal_edges_on_request_and_clamp_new_values(spark):
     assert got == [0, 1]
 
 
-def test_lookup_join_gives_the_same_rows_broadcast_and_salted(spark):
+def test_lookup_join_with_one_hot_key(spark):
+    df = spark.range(2000).select(F.when(F.col("id") % 10 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
+    table = stage(df.select("k").distinct().withColumn("w", F.length("k")), "lengths")
+    for limit in (None, 0):
+        found = lookup_join(df, table, ["k"], limit=limit)
+        assert found.count() == 2000 and found.filter("w <> length(k)").isEmpty()
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    table = stage(spark.range(10).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.sequence(F.lit(1), F.lit(200)).alias("list")), "wide")
+    assert 10 * (1000 + 400) < value_bytes(table) < 10 * 2500
+    assert broadcastable(table) and not broadcastable(table, 1000)
+
+
+def test_infinite_values_leave_finite_bounds(spark):
+    df = spark.createDataFrame([(1, float("inf")), (2, 1.0), (3, 3.0), (4, float("-inf")), (5, None)], "i int, x double")
+    bounds = scaling.fit_bounds(df, ["x"])
+    assert bounds == {"x": (1.0, 3.0)}
+    assert [r.x for r in scaling.scale_columns(df, ["i"], bounds).orderBy("i").collect()] == [None, 0.0, 1.0, None, None]
+
+
+def test_lookup_join_gives_the_same_rows_broadcast_and_shuffled(spark):
     df = spark.createDataFrame([("a", i) for i in range(50)] + [("b", 1), (None, 2), ("z", 3)], "k string, v int")
     table = stage(spark.createDataFrame([("a", 1.0), ("b", 2.0), (None, 3.0)], "k string, w double"), "table")
     for null_safe in (False, True):
         for how in ("left", "inner", "left_semi"):
             one = lookup_join(df, table, ["k"], how, null_safe)
-            two = lookup_join(df, table, ["k"], how, null_safe, limit=0, salts=5)
+            two = lookup_join(df, table, ["k"], how, null_safe, limit=0)
             assert one.columns == two.columns
             assert sorted(one.collect(), key=str) == sorted(two.collect(), key=str)
 

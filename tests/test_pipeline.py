@@ -1,5 +1,7 @@
 """The whole run on the smallest test tables."""
 
+from dataclasses import replace
+from datetime import timedelta
 from pathlib import Path
 
 import pytest
@@ -90,7 +92,22 @@ def test_refitting_on_the_same_rows_scores_the_same(spark, inputs, run, tmp_path
     store.create(inputs[0].withColumn("change_date", F.lit(None).cast("date")))
     some = inputs[0].filter("request_creation_date >= '2001-03-01'")
     score = refit_scorer(store, inputs[1], run.features.model, run.forest, CONF)
-    assert rows(score(some)) == rows(score_rows(some, run.features.model, run.forest))
+    assert rows(score(some, V.AS_OF)) == rows(score_rows(some, run.features.model, run.forest))
+
+
+def test_the_day_of_scoring_decides(inputs, run):
+    """Four months later other requests are recent, and some open ones count as closed."""
+    later = V.AS_OF + timedelta(days=122)
+    now, then = (clean_requests(inputs[0], replace(CONF, as_of=day)) for day in (V.AS_OF, later))
+    scored = score_rows(inputs[0], run.features.model, run.forest, later)
+    eligible = run.features.model.eligible(then)
+    assert rows(scored.select(KEY)) == rows(eligible.select(KEY))
+    assert now.filter("target = -1").count() != then.filter("target = -1").count()
+
+
+def test_area_of_the_chosen_parameters(run):
+    assert 0 <= run.auc <= 1 and run.auc == round(run.auc, 4)
+    assert {r["roc_auc"] for r in run.predictions.select("roc_auc").distinct().collect()} == {run.auc}
 
 
 def test_repeated_keys_are_refused(inputs):

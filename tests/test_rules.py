@@ -105,7 +105,6 @@ def test_profile_cleaning(spark):
 def test_lists(spark):
     rows = [("a|b",), ("a",), ("",), (None,), ("|" * 19,)]
     assert column(spark, rows, "v string", text.count_values(F.col("v"))) == [2, 1, 1, 0, 20]
-    assert column(spark, rows, "v string", text.language_count(F.col("v"))) == [2, 1, 1, 0, 0]
     assert column(spark, rows[:4], "v string", text.several_values(F.col("v"))) == [1, 0, 0, 0]
     assert column(spark, [(" a | b|",)], "v string", text.split_values(F.col("v"))) == [["a", "b", ""]]
 
@@ -123,5 +122,14 @@ def test_dates(spark):
     assert column(spark, rows, schema, text.early_flag(F.col("c"), F.col("n"))) == [1, 0, 0, 0]
     assert column(spark, rows, schema, text.lead_sign(F.col("c"), F.col("n"))) == [1, -1, 0, 0]
     assert column(spark, rows, schema, text.month_name(F.col("c"))) == ["March", "April", "March", None]
-    texts = [("2025-03-01",), ("2025-03-01 10:00:00",), ("soon",), (None,)]
-    assert column(spark, texts, "t string", text.to_day(F.col("t"))) == [D(2025, 3, 1), D(2025, 3, 1), None, None]
+    texts = [("2025-03-01",), ("2025-03-01 10:00:00",), (" 2025-03-01T10:00Z",), ("2025/03/01",), ("20250301",), ("01/03/2025",), ("01.03.2025",), ("soon",), ("2025-02-30",), ("",), (None,)]
+    day = D(2025, 3, 1)
+    assert column(spark, texts, "t string", text.to_day(F.col("t"))) == [day] * 7 + [None] * 4
+    assert column(spark, texts, "t string", text.unread_day(F.col("t"))) == [0] * 7 + [1, 1, 0, 0]
+
+
+def test_folding_beyond_west_european_letters(spark):
+    rows = [("Tiếng Việt re\u0301sume\u0301 Привет",), ("ŁÓDŹ Straße",), (None,)]
+    folded = text.fold_text(F.col("t"))
+    assert column(spark, rows, "t string", folded) == ["tieng viet resume привет", "lodz strasse", ""]
+    assert column(spark, rows[:1], "t string", text.tokens(folded, [])) == [["tieng", "viet", "resume", "привет"]]

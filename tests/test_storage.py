@@ -1,5 +1,7 @@
+import csv
 import json
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -72,21 +74,69 @@ class Connection:
     def commit(self):
         self.log.append("commit")
 
+    def rollback(self):
+        self.log.append("rollback")
+
     def close(self):
         self.log.append("close")
 
 
-def test_jdbc_replacement_deletes_before_it_appends(spark):
+def test_jdbc_replacement_is_one_transaction(spark):
+    rows = spark.range(1)
     connection, appended = Connection(), []
-    deleted = sinks.replace_day_jdbc(
-        spark.range(1), "url", "t", {}, DAY, lambda: connection, append=lambda *a: appended.append(list(connection.log))
-    )
-    statement = ("DELETE FROM t WHERE insertion_date = %s", ("2001-08-02",))
-    assert deleted == 2 and appended == [[statement, "commit", "close"]]
+    deleted = sinks.replace_day_jdbc(rows, "url", "s.t", {}, DAY, lambda: connection, append=lambda df, url, table, p: appended.append((table, list(connection.log))))
+    [(staged, before)] = appended
+    assert deleted == 2 and staged.startswith("s.t_") and before == []
+    assert connection.log == [
+        ("DELETE FROM s.t WHERE insertion_date = %s", ("2001-08-02",)), (f"INSERT INTO s.t (id) SELECT id FROM {staged}", ()),
+        "commit", (f"DROP TABLE {staged}", ()), "commit", "close",
+    ]
     broken = Connection(fail=True)
     with pytest.raises(RuntimeError):
-        sinks.replace_day_jdbc(spark.range(1), "url", "t", {}, DAY, lambda: broken, append=lambda *a: appended.append(1))
-    assert broken.log == ["close"] and len(appended) == 1
+        sinks.replace_day_jdbc(rows, "url", "t", {}, DAY, lambda: broken, append=lambda *a: None)
+    assert broken.log == ["rollback", "close"]
+    untouched = Connection()
+
+    def failing(*a):
+        raise RuntimeError("append failed")
+
+    with pytest.raises(RuntimeError):
+        sinks.replace_day_jdbc(rows, "url", "t", {}, DAY, lambda: untouched, append=failing)
+    assert untouched.log == []
+    with pytest.raises(ValueError, match="identifier"):
+        sinks.replace_day_jdbc(rows, "url", "t; DROP TABLE t", {}, DAY, lambda: untouched, append=failing)
+
+
+def test_csv_with_quotes_and_line_breaks(spark, tmp_path):
+    texts = ['plain', 'say "yes", then\nstop', 'a, b\r\n"c"', '\\ back "\\"', None]
+    with open(tmp_path / "r.csv", "w", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerow(["n", "t", "x"])
+        writer.writerows([i, t, i / 2] for i, t in enumerate(texts))
+    rows = sources.read_csv(spark, str(tmp_path / "r.csv"), "n int, t string, x double").orderBy("n").collect()
+    assert [(r.n, r.t.replace("\r\n", "\n") if r.t else r.t, r.x) for r in rows] == [(i, t.replace("\r\n", "\n") if t else t, i / 2) for i, t in enumerate(texts)]
+    (tmp_path / "bad.csv").write_text("n,t,x\none,a,1.0\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        sources.read_csv(spark, str(tmp_path / "bad.csv"), "n int, t string, x double").collect()
+
+
+def test_database_source(spark):
+    asked = []
+
+    def read(spark, **options):
+        asked.append(options)
+        return spark.range(1)
+
+    options = {"url": "u", "properties": {}, "column": "id", "bounds": (0, 9)}
+    sources.load_inputs(spark, "jdbc", "requests", "salary", SALARY, database=options, read=read)
+    assert [a["table"] for a in asked] == ["requests", "salary"] and asked[0]["bounds"] == (0, 9)
+    with pytest.raises(ValueError, match="parallel"):
+        sources.load_inputs(spark, "jdbc", "requests", "salary", SALARY, database={"url": "u", "properties": {}}, read=read)
+
+
+def test_unread_days_are_counted(spark):
+    texts = spark.createDataFrame([("soon",), ("2001-08-02",), (None,), ("03/08/2001",)], "need_date string")
+    assert sources.unread_days(texts).first() == (1,)
 
 
 def test_sources(spark, tmp_path):
@@ -198,7 +248,7 @@ def test_stream_equals_applying_files_in_order_and_restarts_cleanly(spark, tmp_p
     def run():
         query = start_scoring(
             read_events(spark, str(inbox), schema, files_per_batch=1), store,
-            lambda rows: rows.select("request_code", F.col("community_tech_hours").alias("proba")),
+            lambda rows, day: rows.select("request_code", F.col("community_tech_hours").alias("proba")),
             str(tmp_path / "scores"), str(tmp_path / "checkpoint"), DAY,
         )
         query.awaitTermination()
@@ -217,3 +267,58 @@ def test_stream_equals_applying_files_in_order_and_restarts_cleanly(spark, tmp_p
     # The default of R5 is fixed when its stream starts: the median of region N then.
     assert sorted((r["request_code"], r["proba"]) for r in scores) == [("R1", 5.0), ("R5", 1.0), ("R5", 15.0)]
     assert EVENT_ORDER[0] == "event_time"
+
+
+def hours_event(spark, code, region, at):
+    return spark.createDataFrame([(code, region, at)], "request_code string, region string, event_time int")
+
+
+def test_repeated_batch_is_the_same_after_a_restart(spark, tmp_path):
+    """Defaults come from the base version a batch starts from, not from what later batches wrote."""
+    path = str(tmp_path / "store")
+    store = RequestStore(spark, path, buckets=4)
+    store.create(base_rows(spark))
+    first = by_key(store.upsert(hours_event(spark, "R9", "N", 1), 0, ["event_time"], store.default_medians(before=0), DAY))
+    event = spark.createDataFrame([("R8", "N", 99.0, 2)], "request_code string, region string, community_tech_hours double, event_time int")
+    store.upsert(event, 1, ["event_time"], store.default_medians(before=1), DAY)
+    store.compact()
+    again = RequestStore(spark, path, buckets=4)
+    repeated = by_key(again.upsert(hours_event(spark, "R9", "N", 1), 0, ["event_time"], again.default_medians(before=0), DAY))
+    assert repeated == first and first["R9"]["community_tech_hours"] == 15.0
+    later = by_key(again.upsert(hours_event(spark, "R7", "N", 3), 2, ["event_time"], again.default_medians(before=2), DAY))
+    assert later["R7"]["community_tech_hours"] == 17.5  # the new base holds 10, 20, 15 and 99
+
+
+def test_unfinished_batches_are_not_read(spark, tmp_path):
+    store = RequestStore(spark, str(tmp_path / "store"), buckets=4)
+    store.create(base_rows(spark))
+    event = spark.createDataFrame([("R1", 1.0, 1)], "request_code string, community_tech_hours double, event_time int")
+    store.upsert(event, 0, ["event_time"], store.default_medians(before=0), DAY)
+    (tmp_path / "store" / "changes" / "batch_id=0" / "_SUCCESS").unlink()
+    assert by_key(store.rows())["R1"]["community_tech_hours"] == 10.0
+    store.compact()
+    assert by_key(store.rows())["R1"]["community_tech_hours"] == 10.0
+
+
+def test_malformed_lines_are_kept_apart_and_staged_files_removed(spark, tmp_path):
+    store = RequestStore(spark, str(tmp_path / "store"), buckets=4)
+    store.create(base_rows(spark))
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "1.json").write_text('{"request_code": "R1", "community_tech_hours": 5.0}\n{"request_code": broken\n{"region": "N"}\n')
+    days = []
+
+    def score(rows, day):
+        days.append(day)
+        return rows.select("request_code")
+
+    staged = Path(staging_root(spark).removeprefix("file:")) / "staged"
+    before = set(staged.iterdir())
+    events = read_events(spark, str(inbox), "request_code string, region string, community_tech_hours double")
+    start_scoring(events, store, score, str(tmp_path / "scores"), str(tmp_path / "checkpoint"), DAY, compact_every=1).awaitTermination()
+    assert [r.request_code for r in spark.read.parquet(str(tmp_path / "scores")).collect()] == ["R1"] and days == [DAY]
+    refused = sorted(r.line for r in spark.read.parquet(str(tmp_path / "scores_refused")).collect())
+    assert len(refused) == 2 and "broken" in refused[0] + refused[1] and '"region":"N"' in refused[0] + refused[1]
+    assert set(staged.iterdir()) == before
+    assert (tmp_path / "store" / "base" / "through_batch=0" / "_SUCCESS").exists()
+    assert by_key(store.rows())["R1"]["community_tech_hours"] == 5.0
