@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
+import sys
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -20,10 +23,11 @@ from staffcast.staging import stage
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 16_384  # pieces that one task packs together
-CACHED_WORDS = 400_000
+CACHED_UNITS = 600_000  # about 60 MB in a worker process
 
 WORDS = WordHash(3)
 MARK = b"<|endoftext|>"
+SHARED = "_token_units_of_this_process"
 # Bytes that are ASCII letters (1), other visible ASCII (2), or neither; and those that make a word odd.
 KIND = np.zeros(256, np.int8)
 KIND[0x21:0x7F] = 2
@@ -66,59 +70,69 @@ class WordTokens:
 
         tokenizer = Tokenizer.from_str(definition)
         self.encode, self.mark = tokenizer.encode_batch_fast, tokenizer.token_to_id(MARK.decode())
-        self.known: dict[int, bytes] = {}
-
-    def _learn(self, hashes: list[int], raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
-        """Encode all new units as one text, each followed by a special token: these part the ids of the units again."""
-        if not hashes:
-            return
+        # Unit 0 is the closing id; ``known`` has each other unit's number, and ``begin`` where the ids of each unit begin.
+        self.known: dict[int, int] = {}
+        self.ids, self.begin = np.array([END_ID], np.uint32), np.array([0, 1])
+
+    @staticmethod
+    def shared(definition: str) -> WordTokens:
+        """The one of this worker process: later tasks find the units that earlier ones have met."""
+        kept = sys.modules.setdefault(SHARED, ModuleType(SHARED)).__dict__
+        key = hashlib.sha256(definition.encode()).hexdigest()
+        if key not in kept:
+            kept[key] = WordTokens(definition)
+        return kept[key]
+
+    def _encoded(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units, encoded as one text with a special token after each, and the number of ids of each unit."""
         size = len(MARK) + ends - starts
         text = raw[np.minimum(expand(starts, size), max(0, len(raw) - 1))]
         to = np.cumsum(size)
         for i, byte in enumerate(MARK):
             text[to - len(MARK) + i] = byte
         [encoded] = self.encode([text.tobytes().decode()], add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4")
-        cuts = np.flatnonzero(ids == self.mark)
-        if len(cuts) != len(hashes):  # some unit holds the special token itself
-            parts = np.array_split(np.arange(len(hashes)), 2)
-            if len(hashes) == 1:
-                self.known[hashes[0]] = ids[:-1].tobytes()
-                return
-            for part in parts:
-                self._learn([hashes[i] for i in part], raw, starts[part], ends[part])
-            return
-        data, edges = ids.tobytes(), (4 * cuts).tolist()
-        begin = [0, *[e + 4 for e in edges[:-1]]]
-        self.known.update((h, data[a:b]) for h, a, b in zip(hashes, begin, edges, strict=True))
+        ids = np.array(encoded.ids, np.uint32)
+        marks = np.flatnonzero(ids == self.mark)
+        if len(marks) == len(starts):
+            return ids[ids != self.mark], np.diff(marks, prepend=-1) - 1
+        if len(starts) == 1:  # it holds the special token itself
+            return ids[:-1], np.array([len(ids) - 1])
+        halves = [self._encoded(raw, starts[part], ends[part]) for part in np.array_split(np.arange(len(starts)), 2)]
+        return tuple(np.concatenate(x) for x in zip(*halves, strict=True))
 
     def __call__(self, at: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of a piece, each with the closing id, and where each document begins (plus the end)."""
         starts, ends, first = word_spans(at, raw, UNSPACED)
         raw, starts, ends, before = units(raw, starts, ends)
         first = before[first]
-        inverse, hashes = pd.factorize(WORDS(raw, starts, ends))
-        highest = np.maximum.accumulate(inverse)
-        sample = np.flatnonzero(np.diff(highest, prepend=-1))  # where each was first seen
-        if len(self.known) > CACHED_WORDS:
-            self.known = {}
-        known, hashes = self.known, hashes.tolist()
-        new = [i for i, h in enumerate(hashes) if h not in known]
-        self._learn([hashes[i] for i in new], raw, starts[sample[new]], ends[sample[new]])
-        # One run for each different word, and the closing id as a last "word" of each document.
-        runs = [known[h] for h in hashes] + [np.array([END_ID], "<u4").tobytes()]
-        sizes = np.fromiter(map(len, runs), np.int64, len(runs)) // 4
-        heads = np.cumsum(sizes) - sizes
-        words_in = np.diff(first)
-        which = np.full(len(inverse) + len(words_in), len(runs) - 1)
-        which[np.arange(len(inverse)) + np.repeat(np.arange(len(words_in)), words_in)] = inverse
-        ids = np.frombuffer(b"".join(runs), "<u4")[expand(heads[which], sizes[which])]
-        ends_of = np.cumsum(sizes[which])
-        return ids, np.concatenate([[0], ends_of[np.cumsum(words_in + 1) - 1]])
+        which, hashes = pd.factorize(WORDS(raw, starts, ends))
+        sample = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))  # where each was first seen
+        if len(self.known) > CACHED_UNITS:
+            # The units met first are the common ones; the later half goes.
+            half = CACHED_UNITS // 2
+            self.known = {h: i for h, i in self.known.items() if i <= half}
+            self.begin = self.begin[: half + 2]
+            self.ids = self.ids[: self.begin[-1]].copy()
+        known = self.known
+        number = np.fromiter((known.get(h, 0) for h in hashes.tolist()), np.int64, len(hashes))
+        new = np.flatnonzero(number == 0)
+        if len(new):
+            ids, sizes = self._encoded(raw, starts[sample[new]], ends[sample[new]])
+            number[new] = len(self.begin) - 1 + np.arange(len(new))
+            known.update(zip(hashes[new].tolist(), number[new].tolist(), strict=True))
+            self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+            self.ids = np.concatenate([self.ids, ids])
+        # The closing id is a last "unit" of each document.
+        in_each = np.diff(first)
+        unit = np.zeros(len(which) + len(in_each), np.int64)
+        unit[np.arange(len(which)) + np.repeat(np.arange(len(in_each)), in_each)] = number[which]
+        sizes = self.begin[unit + 1] - self.begin[unit]
+        to = np.cumsum(sizes)
+        return self.ids[expand(self.begin[unit], sizes)], np.concatenate([[0], to[np.cumsum(in_each + 1) - 1]])
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], definition: str, capacity: int, tokens: bool) -> Iterator[pa.RecordBatch]:
-    encode = WordTokens(definition)
+    encode = WordTokens.shared(definition)
     for batch in batches:
         for first, end, at, raw in chunks(batch.column("text")):
             ids, begin = encode(at, raw)

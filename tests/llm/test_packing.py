@@ -87,3 +87,15 @@ def test_place_with_the_smallest_sum_of_squares():
         else:
             assert s == len(gaps) and o == 0
             gaps.append(20 - size)
+
+
+def test_forgotten_units_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_UNITS", 20)
+    whole = Tokenizer.from_file(PATH)
+    with open(PATH) as f:
+        encode = packing.WordTokens(f.read())
+    for k in range(6):
+        texts = [f"word{k} other{i} again {i % 3} x{i * k}" for i in range(15)]
+        ids, begin = encode(*text_column(pa.array(texts)))
+        assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:], strict=False)] == [[*whole.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+        assert len(encode.begin) == len(encode.known) + 2
