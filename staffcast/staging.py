@@ -40,7 +40,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{staging_root(spark)}/staged/{name}-{uuid.uuid4().hex}"
     for scope in _scopes:
         scope.append(path)
-    df.write.parquet(path)
+    # Staged tables are read few times; the stronger compression keeps the shared folder small.
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
