@@ -17,8 +17,11 @@ from staffcast.staging import stage
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rule ensemble, fitted on the labelled ones among them, doesn't reject."""
-    scored, _ = score_quality(docs, "doc_id", "text", read_table(spark, sf_dir, "labels"), "doc_id", "quality", keep=docs.columns)
-    return scored.where("predicted = 1").select(*[F.col("kept")[f"keep_{c}"].alias(c) for c in docs.columns])
+    row = free_name(docs, "row")
+    rows = stage(numbered(docs, row), "documents")
+    scored, _ = score_quality(rows, "doc_id", "text", read_table(spark, sf_dir, "labels"), "doc_id", "quality", row=row)
+    kept = scored.where("predicted = 1").select(F.col("kept.row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

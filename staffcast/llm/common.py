@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -60,6 +60,8 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         end = max(first + 1, int(np.searchsorted(at, at[first] + limit, "right")) - 1)
         yield first, end, at[first : end + 1] - at[first], raw[at[first] : at[end]]
         first = end
+    # Python workers live on after a task; what a batch took goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def word_spans(at: np.ndarray, raw: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -98,7 +100,7 @@ class Powers:
 
     def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
+            n = max(n, len(self.up) * 5 // 4)
             self.up, self.down = (self._powers(b, n) for b in (self.base, pow(self.base, -1, 1 << 64)))
         return self.up, self.down
 

@@ -23,7 +23,7 @@ from staffcast.staging import stage
 CAPACITY = 2048
 END_ID = 0
 SHARD_PIECES = 16_384  # pieces that one task packs together
-CACHED_UNITS = 600_000  # about 60 MB in a worker process
+CACHED_UNITS = 400_000  # about 40 MB in a worker process
 
 WORDS = WordHash(3)
 MARK = b"<|endoftext|>"

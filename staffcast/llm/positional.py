@@ -13,7 +13,7 @@ from staffcast.llm.common import ALPHANUMERIC, LOWER, WordHash, chunks, expand,
 from staffcast.staging import stage
 
 WINDOW = 10
-SHARD_BYTES = 2 << 20  # text of one index shard; a longer document is a shard of its own
+SHARD_BYTES = 1 << 20  # text of one index shard; a longer document is a shard of its own
 HELD_PLACES = 1 << 20
 ITEM_WORDS = 2_000_000  # words of items that tasks hold at a time; more items are searched in several rounds
 

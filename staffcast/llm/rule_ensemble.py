@@ -164,11 +164,16 @@ def fit(rows: DataFrame, label: str, names: Sequence[str] = STATISTICS) -> Ensem
     return Ensemble(tuple(weights), float(model.intercept))
 
 
-def measured(docs: DataFrame, id_column: str, text_column: str, keep: Sequence[str] = ()) -> DataFrame:
-    """Statistics of each whole text beside ``kept``: the row's number, its id and the columns of ``keep``; a written table."""
-    row = free_name(docs, "_row")
+def measured(docs: DataFrame, id_column: str, text_column: str, keep: Sequence[str] = (), row: str | None = None) -> DataFrame:
+    """Statistics of each whole text beside ``kept``: the row's number, its id and the columns of ``keep``; a written table.
+
+    ``row`` may name a column of written numbers that differ between rows; else rows are numbered here.
+    """
+    if row is None:
+        row = free_name(docs, "_row")
+        docs = numbered(docs, row)
     kept = F.struct(F.col(row).alias("row"), F.col(id_column).alias("id"), *[F.col(c).alias(f"keep_{c}") for c in keep])
-    rows = numbered(docs, row).select(kept.alias("kept"), F.col(text_column).cast("string").alias("text"))
+    rows = docs.select(kept.alias("kept"), F.col(text_column).cast("string").alias("text"))
     schema = f"kept {rows.schema['kept'].dataType.simpleString()}, " + ", ".join(f"{n} double" for n in STATISTICS)
     return stage(rows.mapInArrow(_statistics, schema), "statistics")
 
@@ -179,7 +184,8 @@ def held_out(id_column: Column) -> Column:
 
 
 def score_quality(
-    docs: DataFrame, id_column: str, text_column: str, labels: DataFrame, label_id: str, label: str, keep: Sequence[str] = (), train_rows: int = TRAIN_ROWS
+    docs: DataFrame, id_column: str, text_column: str, labels: DataFrame, label_id: str, label: str, keep: Sequence[str] = (),
+    train_rows: int = TRAIN_ROWS, row: str | None = None,
 ) -> tuple[DataFrame, Ensemble]:
     """Rows ``kept`` (see :func:`measured`), statistics, ``held_out``, ``score`` (0 to 1) and ``predicted``, and the ensemble.
 
@@ -188,7 +194,7 @@ def score_quality(
     fit trees and weights. Null and empty texts have statistics of 0 and are scored like any others. Repeated rows
     each have a row; an empty table gives an empty result, and without labels all scores are 0.5.
     """
-    rows = measured(docs, id_column, text_column, keep)
+    rows = measured(docs, id_column, text_column, keep, row)
     marks = labels.where(F.col(label_id).isNotNull() & F.col(label).isNotNull())
     marks = marks.groupBy(F.col(label_id).alias("_id")).agg((F.avg(label) >= 0.5).cast("double").alias("_label"))
     marked = rows.where(~held_out(F.col("kept.id"))).join(marks, F.col("kept.id") == F.col("_id")).select("kept.row", "_label", *STATISTICS)
