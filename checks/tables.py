@@ -239,6 +239,12 @@ def neg_corr_flag(spark, sf_dir):
     return flagged.select("request_code", F.coalesce("neg_corr", F.lit(0)).alias("neg_corr"))
 
 
+@query("etl_initial", _sql("SELECT * FROM cleaned", V.CLEANED_SQL))
+def etl_initial(spark, sf_dir):
+    """All columns of the cleaned requests with their outcome."""
+    return V.prepared(spark, sf_dir)
+
+
 # ---- quantiles and bins ----------------------------------------------------------
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -401,14 +407,22 @@ def join_target(spark, sf_dir):
     return V.requests(spark, sf_dir).select("request_code", "priority").join(targets, "request_code", "left")
 
 
+REQUEST_COLUMNS = (
+    "request_code", "status", "request_creation_date", "closure_date", "need_date", "positions_filled", "required_positions",
+    "desired_salary", "client_code", "final_client", "sales_agent", "hr_manager", "region", "job_role", "remote_work",
+    "rate_type", "request_type", "work_area", "languages", "job_level", "consolidation_probability",
+    "coverage_probability", "minimum_requirements", "tech_hours", "community_tech_hours", "applicant_tech_hours_12",
+    "applicant_tenure", "tech_tenure", "average_salary", "average_salary_12", "priority", "service_type", "request_difficulty",
+)
+
+
 # ---- reports ---------------------------------------------------------------------
 
 
 @query(
     "null_profile",
-    _sql("""SELECT count(*) AS n_rows, CAST(any_value(len(cells)) AS INTEGER) AS n_columns,
-      CAST(sum(len(list_filter(cells, lambda c: c IS NULL))) AS BIGINT) AS n_missing
-      FROM (SELECT [CAST(COLUMNS(*) AS VARCHAR)] AS cells FROM requests)"""),
+    _sql("SELECT count(*) AS n_rows, " + str(len(REQUEST_COLUMNS)) + " AS n_columns, CAST(sum("
+         + " + ".join(f"CAST({c} IS NULL AS INTEGER)" for c in REQUEST_COLUMNS) + ") AS BIGINT) AS n_missing FROM requests"),
 )
 def null_profile(spark, sf_dir):
     return profile.null_profile(V.requests(spark, sf_dir))

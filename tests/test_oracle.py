@@ -12,7 +12,7 @@ DATA = Path("/root/testdata/sf0.001")
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE"}
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test tables")
 
