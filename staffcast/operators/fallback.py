@@ -31,12 +31,15 @@ def level_medians(
             complete, F.struct(F.lit(number).alias("level"), *[c.alias(k) for c, k in zip(kept, keys)])
         )
 
-    spread = df.filter(F.col(value).isNotNull()).select(
+    # Equal values under the same keys are counted first; all levels are then rolled up from the counts.
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*by, *keys, F.col(value).alias("_value")).agg(F.count("*").alias("_times"))
+    spread = counted.select(
         *by,
-        F.col(value).alias("_value"),
+        "_value",
+        "_times",
         F.explode(F.array(*[entry(i, level) for i, level in enumerate(levels)])).alias("_at"),
-    ).filter(F.col("_at").isNotNull()).select(*by, "_value", "_at.*")
-    medians = group_quantiles(spread, [*by, "level", *keys], "_value", [0.5])
+    ).filter(F.col("_at").isNotNull()).select(*by, "_value", "_times", "_at.*")
+    medians = group_quantiles(spread, [*by, "level", *keys], "_value", [0.5], weight="_times")
     return medians.select(*by, "level", *keys, F.col("q")[0].alias("median"))
 
 

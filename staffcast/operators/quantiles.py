@@ -1,7 +1,8 @@
 """Exact linear-interpolation quantiles that hold at any group size.
 
-Numbering the values of a group takes one task per group. That is the right plan while groups are
-small, so it is used up to ``state_rows`` rows per group. Larger groups are solved by bracketing:
+Equal values of a group are counted before the shuffle, and the counts are written once. Running over the different
+values of a group takes one task per group. That is the right plan while these are few, so it is used up to
+``state_rows`` different values per group. Larger groups are solved by bracketing:
 
 1. a mergeable sketch gives, per group and probability, a narrow interval around the wanted ranks;
 2. one aggregate counts the values below each interval and, by value, those inside;
@@ -31,17 +32,21 @@ def group_quantiles(
     probs: Sequence[float],
     state_rows: int | None = None,
     accuracy: int | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Quantiles of ``value`` per group: columns ``keys``, ``n`` and ``q`` (array in order of ``probs``).
 
-    Rows with a missing value are ignored; groups without any value do not appear.
+    Rows with a missing value are ignored; groups without any value do not appear. ``weight`` names a column that says how
+    many rows a row stands for.
     """
     state_rows = STATE_ROWS if state_rows is None else state_rows
     accuracy = SKETCH_ACCURACY if accuracy is None else accuracy
     keys, probs = list(keys), [float(p) for p in probs]
-    rows = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    sizes = stage(rows.groupBy(*keys).agg(F.count("*").alias("n")), "sizes")
-    large = sizes.filter(F.col("n") > state_rows)
+    times = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    rows = df.select(*keys, F.col(value).cast("double").alias("_x"), times.alias("_w")).filter(F.col("_x").isNotNull())
+    rows = stage(rows.groupBy(*keys, "_x").agg(F.sum("_w").alias("_w")), "counted")
+    sizes = rows.groupBy(*keys).agg(F.sum("_w").alias("n"), F.count("*").alias("_values"))
+    large = stage(sizes.filter(F.col("_values") > state_rows).drop("_values"), "large")
     if large.isEmpty():
         return _by_rank(rows, keys, probs)
     marked = lookup_join(rows, large, keys, null_safe=True)
@@ -79,17 +84,18 @@ def _between(low: Column, high: Column, position: Column) -> Column:
 
 
 def _by_rank(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Number the values of each group; one shuffle and one sort, for groups of bounded size."""
+    """Run over the counted values of each group; one shuffle and one sort, for groups of few different values."""
     group = Window.partitionBy(*keys)
     ranked = rows.select(
         *keys,
         "_x",
-        (F.row_number().over(group.orderBy("_x")) - 1).alias("_rank"),
-        F.count("*").over(group).alias("n"),
+        "_w",
+        F.sum("_w").over(group.orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)).alias("_until"),
+        F.sum("_w").over(group).alias("n"),
     )
 
     def at(place):
-        return F.max(F.when(F.col("_rank") == place, F.col("_x")))
+        return F.max(F.when((F.col("_until") > place) & (F.col("_until") - F.col("_w") <= place), F.col("_x")))
 
     positions = [(F.col("n") - 1) * F.lit(p) for p in probs]
     ends = [(at(F.floor(pos)).alias(f"_l{i}"), at(F.ceil(pos)).alias(f"_h{i}")) for i, pos in enumerate(positions)]
@@ -99,7 +105,7 @@ def _by_rank(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
 
 
 def _by_brackets(rows: DataFrame, keys: list[str], probs: list[float], accuracy: int) -> DataFrame:
-    """``rows`` carries ``keys``, ``n`` (rows of the group) and the value ``_x``."""
+    """``rows`` carries ``keys``, ``n`` (rows of the group), the value ``_x`` and how often it occurs, ``_w``."""
     margin = 2.0 / accuracy
     todo, done = None, []
     while True:
@@ -125,7 +131,10 @@ def _by_brackets(rows: DataFrame, keys: list[str], probs: list[float], accuracy:
 
 
 def _brackets(rows: DataFrame, keys: list[str], probs: list[float], accuracy: int, margin: float) -> DataFrame:
-    """Per group and slot (index of a probability): the wanted position and an interval around it."""
+    """Per group and slot (index of a probability): the wanted position and an interval around it.
+
+    The sketch sees each different value once; where values are repeated unevenly it may miss, and the interval is widened.
+    """
     ends = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
     sketch = rows.groupBy(*keys).agg(
         F.first("n").alias("n"),
@@ -152,7 +161,7 @@ def _pick(rows: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
     met = lookup_join(rows.drop("n"), brackets, keys, how="inner", null_safe=True).filter("_x <= to")
     cells = met.groupBy(
         *keys, "slot", "n", "position", F.when(F.col("_x") >= F.col("from"), F.col("_x")).alias("inside")
-    ).agg(F.count("*").alias("cell_rows"))
+    ).agg(F.sum("_w").alias("cell_rows"))
     # The row with a NULL value carries everything below the interval and sorts first.
     order = Window.partitionBy(*keys, "slot").orderBy(F.asc_nulls_first("inside"))
     running = cells.withColumn("until", F.sum("cell_rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
