@@ -16,9 +16,9 @@ TEST_KEY = "a key for tests; set your own"
 # Where a number may begin and end: not inside a longer one.
 BEGIN, END = r"(?<![0-9A-Za-z])(?<![0-9][.,:/-])", r"(?![0-9A-Za-z])(?![.,:/-]?[0-9])"
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-# Tried in this order at each place; what matches but isn't valid stays as it is.
+# Tried in this order at each place; what matches but isn't valid stays as it is. A host has 127 labels at most; its last one gives back a full stop.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}+",
     "iban": rf"{BEGIN}[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?{END}",
     "ip": rf"{BEGIN}{OCTET}(?:\.{OCTET}){{3}}{END}",
     "date": rf"{BEGIN}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}([./])[0-9]{{2}}\1[0-9]{{4}}){END}",

@@ -79,6 +79,20 @@ def test_equal_values_stay_linked_over_documents(spark):
     assert hidden(spark, "10.0.0.1") != feistel.pseudonymized(frame(spark, ["10.0.0.1"]), "text", "other").first().text
 
 
+def all_hidden(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "n int, text string").coalesce(1)
+    got = {r.n: r.text for r in feistel.pseudonymized(docs, "text", KEY).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_addresses_end_before_marks(spark):
+    """Also before a full stop, which isn't part of the host."""
+    ends = ("", ".", ". Next", "...", ".\n", ";", ")", ",", ".)", "\n", ".5", "-", "!")
+    first, *others = all_hidden(spark, [f"(mail jane@example.com{end}" for end in ends] + ["jane@a.b.example.com."])
+    assert first != "(mail jane@example.com" and others[:-1] == [first + end for end in ends[1:]]
+    assert others[-1].endswith("@a.b.example.com.") and not others[-1].startswith("jane")
+
+
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
