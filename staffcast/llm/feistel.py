@@ -38,7 +38,7 @@ def _any(kinds: tuple[str, ...]) -> str:
 # The first character tells most places apart before anything else is tried.
 NUMBERS = rf"(?=[0-9+(A-Z])(?:{_any(KINDS[1:])})"
 ANY = rf"{NUMBERS}|(?=[A-Za-z0-9]){_any(KINDS[:1])}"
-HINT = "[0-9]{2}"  # what any number contains
+HINT = "[0-9]{2}|[0-9][. -][0-9]"  # what any number contains, also one of digits with marks between all of them
 
 FIRST_DAY, DAYS = "1900-01-01", (17, 4297)  # the days of 1900 to 2099
 

@@ -93,6 +93,14 @@ def test_addresses_end_before_marks(spark):
     assert others[-1].endswith("@a.b.example.com.") and not others[-1].startswith("jane")
 
 
+def test_numbers_of_single_digits(spark):
+    """An address of one-digit parts alone in a text is the same as beside others; so is a card number with marks between all digits."""
+    card = " ".join("4111111111111111")
+    got = all_hidden(spark, ["8.8.8.8", "8.8.8.8 of 2024", "8.8.8.8 @", card, f"{card} of 2024", "1.2.3", "1 2 3"])
+    assert got[0] != "8.8.8.8" and got[1] == f"{got[0]} of 2024" and got[2] == f"{got[0]} @"
+    assert got[3] != card and got[4] == f"{got[3]} of 2024" and got[5:] == ["1.2.3", "1 2 3"]
+
+
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
