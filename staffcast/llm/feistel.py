@@ -13,19 +13,44 @@ ROUNDS = 8
 KEY_SETTING = "spark.staffcast.pseudonym.key"
 TEST_KEY = "a key for tests; set your own"
 
-# Where a number may begin and end: not inside a longer one.
-BEGIN, END = r"(?<![0-9A-Za-z])(?<![0-9][.,:/-])", r"(?![0-9A-Za-z])(?![.,:/-]?[0-9])"
+# Where a number may begin and end: not inside a longer one. Commas, colons and slashes part values.
+BEGIN, END = r"(?<![0-9A-Za-z])(?<![0-9][.-])", r"(?![0-9A-Za-z])(?![.-][0-9])"
 OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# Characters of an account number by country, as registered.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_of(length: int, countries: str) -> str:
+    fours, rest = divmod(length - 4, 4)
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{fours}}}" + rf"\x20?[A-Z0-9]{{{rest}}}" * bool(rest)
+
+
+# Numbers of a country's length come first, so that a word after one isn't taken for its end.
+IBAN = "|".join([*(_iban_of(n, c) + END for n, c in IBAN_LENGTHS.items()), r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?" + END])
+# A time may follow a day after a T; slashes part ISO days but are inside others.
+DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-SU-Za-z]|T(?![0-9])|[.-][0-9])|(?<![0-9]/)[0-9]{2}([./])[0-9]{2}\1[0-9]{4}(?!/[0-9])" + END
+GROUP = r"[\x20.-]?[0-9]{2,4}"
+# With a country code; ten digits in the American way, after a 1 too; pairs in the French way.
+PHONE = (
+    rf"\+[0-9]{{1,3}}[\x20.-]?(?:\(?[0-9]{{2,4}}\)?(?:{GROUP}){{2,3}}{END}|\(?[0-9]\)?(?:{GROUP}){{2,4}}{END})"
+    rf"|(?:1[\x20.-]|1(?=\())?(?:\([0-9]{{3}}\)[\x20.-]?|\(?[0-9]{{3}}\)?[\x20.-])[0-9]{{3}}[\x20.-][0-9]{{4}}{END}"
+    rf"|0[1-9](?:(?:\x20[0-9]{{2}}){{4}}|(?:\.[0-9]{{2}}){{4}}|(?:-[0-9]{{2}}){{4}}){END}"
+)
 # Tried in this order at each place; what matches but isn't valid stays as it is. A host has 127 labels at most; its last one gives back a full stop.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.){1,126}[A-Za-z]{2,}+",
-    "iban": rf"{BEGIN}[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?{END}",
-    "ip": rf"{BEGIN}{OCTET}(?:\.{OCTET}){{3}}{END}",
-    "date": rf"{BEGIN}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}([./])[0-9]{{2}}\1[0-9]{{4}}){END}",
+    "iban": rf"{BEGIN}(?:{IBAN})",
+    "ip": rf"(?<![0-9A-Za-z])(?<![0-9]\.){OCTET}(?:\.{OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])",
+    "date": rf"{BEGIN}(?:{DATE})",
     "ssn": rf"{BEGIN}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{END}",
     "card": rf"{BEGIN}[0-9](?:[\x20-]?[0-9]){{12,18}}{END}",
-    "phone": rf"(?<![0-9A-Za-z+])(?<![0-9][.,:/-])(?:\+[0-9]{{1,3}}[\x20.-]?\(?[0-9]{{2,4}}\)?(?:[\x20.-]?[0-9]{{2,4}}){{2,3}}|\(?[0-9]{{3}}\)?[\x20.-][0-9]{{3}}[\x20.-][0-9]{{4}}){END}",
+    "phone": rf"(?<!\+){BEGIN}(?:{PHONE})",
 }
+CARD_DIGITS = (19, 16, 15, 14, 13)
 KINDS = tuple(PATTERNS)
 
 
@@ -137,14 +162,26 @@ def iban_rest(text: Column) -> Column:
 
 
 def _card(text: Column, key: str) -> Column:
-    """The first digit stays, the last is made anew to check."""
+    """The first digit stays, the last is made anew to check. Of numbers with other groups beside them only the card's groups change."""
 
-    def change(d: Column) -> Column:
-        body = F.concat(F.substr(d, F.lit(1), F.lit(1)), permuted_digits(F.substr(d, F.lit(2), F.char_length(d) - 2), key, "card"))
+    def change(text: Column) -> Column:
+        d = digits_of(text)
+        body = let(d, lambda d: F.concat(F.substr(d, F.lit(1), F.lit(1)), permuted_digits(F.substr(d, F.lit(2), F.char_length(d) - 2), key, "card")))
         whole = let(body, lambda b: F.concat(b, F.pmod(10 - luhn_sum(F.concat(b, F.lit("0"))), F.lit(10)).cast("string")))
-        return F.when((luhn_sum(d) == 0) & d.rlike("[1-9]"), refilled(text, "[0-9]", whole))
+        return refilled(text, "[0-9]", whole)
 
-    return let(digits_of(text), change)
+    def valid(text: Column) -> Column:
+        return let(digits_of(text), lambda d: (luhn_sum(d) == 0) & d.rlike("[1-9]"))
+
+    # Runs of whole groups with as many digits as a card has, also those that overlap.
+    runs = [F.regexp_extract_all(text, F.lit(rf"(?<![0-9])(?=([0-9](?:[\x20-]?[0-9]){{{n - 1}}})(?![0-9]))"), F.lit(1)) for n in CARD_DIGITS]
+    tried = F.when(valid(text), F.array(text)).otherwise(F.filter(F.concat(*runs), valid))
+
+    def placed(card: Column) -> Column:
+        at = F.instr(text, card)
+        return F.concat(F.substr(text, F.lit(1), at - 1), change(card), F.substr(text, at + F.char_length(card)))
+
+    return let(F.get(tried, F.lit(0)), lambda card: F.when(card.isNotNull(), placed(card)))
 
 
 def _iban(text: Column, key: str) -> Column:
@@ -250,7 +287,8 @@ def pseudonymized(docs: DataFrame, text_column: str, key: str, kinds_column: str
     Replaced are e-mail addresses, IBANs with a right checksum, IPv4 addresses, dates from 1900 to 2099, US social security
     numbers of valid ranges, card numbers of 13 to 19 digits with a right check digit, and phone numbers. Each goes through a keyed
     permutation of its format, so it stays valid and equal values stay equal, in one document and across; the permutation
-    can be undone with the key. What only looks like one stays. Null texts stay null, empty ones empty; rows and other
+    can be undone with the key. What only looks like one stays. Commas, colons, slashes and spaces part values, a ``T`` a day from its time;
+    a card number is also found among other groups of digits, and an account number before a word. Null texts stay null, empty ones empty; rows and other
     columns stay as they are; an empty table gives an empty result.
     """
     held = "_protected"

@@ -101,6 +101,27 @@ def test_numbers_of_single_digits(spark):
     assert got[3] != card and got[4] == f"{got[3]} of 2024" and got[5:] == ["1.2.3", "1 2 3"]
 
 
+def test_values_beside_others(spark):
+    """What stands before or after a value doesn't keep it in clear, and it has the pseudonym that it has alone."""
+    values = {
+        "ip": "10.0.0.12", "ip2": "10.0.0.13", "net": "10.0.0.0", "card": "4111111111111111", "cards": "4111 1111 1111 1111", "day": "2024-01-15", "day2": "2024-01-16",
+        "iban": "BE68539007547034", "ibans": "BE68 5390 0754 7034", "phone": "800-555-1234", "area": "(555) 123-4567",
+    }
+    texts = [
+        "{ip}:8080", "{net}/8", "{ip},{ip2}", "{card},10", "10,{card}", "{day},{day2}", "{day}T10:00", "{day}/{day2}", "1-{phone}", "{cards} 123", "123 {cards}", "{iban} EUR", "{ibans} BIC",
+        "{iban} {iban}", "{iban} {card}", "{ip}:{card}",
+    ]
+    whole = ["(555)123-4567", "+33 1 23 45 67 89", "01 23 45 67 89"]
+    got = all_hidden(spark, [*values.values(), *[t.format(**values) for t in texts], *whole])
+    new = dict(zip(values, got, strict=False))
+    assert all(new[k] != v for k, v in values.items())
+    assert got[len(values) : -len(whole)] == [t.format(**new) for t in texts]
+    assert got[-3] == new["area"].replace(" ", "") and re.fullmatch(r"\+3\d \d( \d\d){4}", got[-2]) and re.fullmatch(r"\d\d( \d\d){4}", got[-1])
+    assert not set(whole) & set(got)
+    still = ["1.2.3.4.5", "2024-01-15Tx", "2024-01-15-3", "1/13/12/2020", "4111 1111 1111 1112 123", "BE68539007547035 EUR"]
+    assert all_hidden(spark, still) == still
+
+
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
 
