@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 
@@ -128,25 +129,60 @@ def common_lines(a: list, b: list) -> np.ndarray:
     y = [i for i in range(low, high_b) if b[i] in among_a]
     if not x or not y:
         return shared
-    # Rows of the length table, as differences of one byte each, so that the way back can be found.
-    codes = {v: k for k, v in enumerate(dict.fromkeys(a[i] for i in x))}
-    right = np.array([codes.get(b[i], -1) for i in y])
-    table = np.zeros((len(x) + 1, len(y) + 1), np.int32)
-    for i, own in enumerate(x, 1):
-        step = np.where(right == codes[a[own]], table[i - 1, :-1] + 1, table[i - 1, 1:])
-        table[i, 1:] = np.maximum.accumulate(step)
-    i, j = len(x), len(y)
-    while i and j:
-        if table[i, j] == table[i - 1, j]:
-            i -= 1
-        elif table[i, j] == table[i, j - 1]:
-            j -= 1
-        else:
-            shared[x[i - 1]] = True
-            i, j = i - 1, j - 1
+    for i, _ in _matches([a[i] for i in x], [b[i] for i in y]):
+        shared[x[i]] = True
     return shared
 
 
+def _matches(a: list, b: list) -> Iterator[tuple[int, int]]:
+    """Places in ``a`` and ``b`` of a longest common subsequence, last first.
+
+    A row of the length table is one number: bit j is clear where the length grows at ``b[j]``. Only the first row of
+    each block is kept, and the way back makes the rows of a block again, so memory doesn't follow the product of lengths.
+    """
+    places: dict = {}
+    for j, v in enumerate(b):
+        places.setdefault(v, []).append(j)
+    whole, frequent = (1 << len(b)) - 1, {}
+
+    def bits(v) -> int:
+        if v in frequent:
+            return frequent[v]
+        own = places.get(v, ())
+        out = bytearray(len(b) // 8 + 1)
+        for j in own:
+            out[j >> 3] |= 1 << (j & 7)
+        found = int.from_bytes(out, "little")
+        if len(own) > 64:
+            frequent[v] = found
+        return found
+
+    def after(row: int, v) -> int:
+        hit = row & bits(v)
+        return (row + hit | row - hit) & whole
+
+    step = math.isqrt(len(a)) + 1
+    firsts, row = [], whole
+    for i, v in enumerate(a):
+        if i % step == 0:
+            firsts.append(row)
+        row = after(row, v)
+    j = len(b)
+    for block in reversed(range(len(firsts))):
+        begin = block * step
+        rows = [firsts.pop()]
+        for v in a[begin : begin + step]:
+            rows.append(after(rows[-1], v))
+        for i in reversed(range(begin, begin + len(rows) - 1)):
+            if not j:
+                return
+            below = (1 << j) - 1
+            grows = ~rows[i - begin + 1] & below
+            if grows.bit_count() > (~rows[i - begin] & below).bit_count():
+                j = grows.bit_length() - 1
+                yield i, j
+
+
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest = xxhash.xxh64_intdigest
     for batch in batches:

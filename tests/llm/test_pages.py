@@ -1,6 +1,8 @@
 """Main text of pages and verdicts on URLs."""
 
+import bisect
 import random
+import tracemalloc
 
 from pyspark.sql import functions as F
 
@@ -63,6 +65,33 @@ def test_longest_common_lines():
         assert len(own) == lcs(a, b) and all(any(x == y for y in rest) for x in own)
 
 
+def longest_rising(values):
+    ends = []
+    for v in values:
+        at = bisect.bisect_left(ends, v)
+        ends[at : at + 1] = [v]
+    return len(ends)
+
+
+def test_long_pages_need_little_memory():
+    """Tens of thousands of shared lines between different first and last ones, in order, moved about, and repeated."""
+    n, r = 30_000, random.Random(6)
+    moved = list(range(n))
+    for _ in range(200):
+        at, to = r.randrange(n), r.randrange(n)
+        moved.insert(to, moved.pop(at))
+    repeats = [i % 50 for i in range(n)]
+    for middle, other, want in ((list(range(n)), list(range(n)), n), (moved, list(range(n)), longest_rising(moved)), (repeats, repeats[7:], n - 7)):
+        a, b = [-1, *middle, -2], [-3, *other, -4]
+        tracemalloc.start()
+        shared = page_lines.common_lines(a, b)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        rest = iter(b)
+        assert shared.sum() == want and all(x in rest for x, s in zip(a, shared, strict=True) if s)
+        assert peak < 100 << 20
+
+
 def test_nearest_path_on_the_host(spark):
     rows = [("h", "/a/b/1", [1]), ("h", "/a/b/2", [2]), ("h", "/a/c", [3]), ("g", "/a/b/1", [4]), ("h", "/a/b/1", [1])]
     df = spark.createDataFrame([(i, *r, [1] * len(r[2])) for i, r in enumerate(rows)], "row long, host string, path string, hashes array<long>, kinds array<int>")
