@@ -131,6 +131,44 @@ class WordHash:
         return run_hashes(self.bytes[raw], starts, ends, self.powers)
 
 
+class Vocabulary:
+    """Finds the words of a bounded list in texts: a hash proposes, the bytes decide."""
+
+    def __init__(self, words: list[bytes]):
+        self.words = sorted(set(words))
+        self.ends = np.cumsum([len(w) for w in self.words], dtype=np.int64)
+        self.sizes = np.diff(self.ends, prepend=0)
+        self.raw = np.frombuffer(b"".join(self.words), np.uint8)
+        seed = 0
+        while True:  # words of the list never share a hash
+            self.hash = WordHash(seed)
+            hashes = self.hash(self.raw, self.ends - self.sizes, self.ends)
+            if len(np.unique(hashes)) == len(self.words):
+                break
+            seed += 1
+        self.order = np.argsort(hashes)
+        self.hashes = hashes[self.order]
+
+    def number(self, word: bytes) -> int:
+        return int(np.searchsorted(np.array(self.words, object), word))
+
+    def find(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The number of each word ``raw[start:end]``, or -1 if it isn't listed."""
+        out = np.full(len(starts), -1, np.int32)
+        if not len(self.words) or not len(starts):
+            return out
+        hashes = self.hash(raw, starts, ends)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        number = self.order[at]
+        maybe = np.flatnonzero((self.hashes[at] == hashes) & (self.sizes[number] == ends - starts))
+        if len(maybe):
+            number, size = number[maybe], (ends - starts)[maybe]
+            equal = raw[expand(starts[maybe], size)] == self.raw[expand(self.ends[number] - size, size)]
+            same = np.logical_and.reduceat(equal, np.cumsum(size) - size)
+            out[maybe[same]] = number[same]
+        return out
+
+
 def expand(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """``start, start + 1, ...`` of ``count`` numbers for each pair, one after the other."""
     counts = np.asarray(counts, np.int64)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from staffcast.llm import count_min, feistel, max_score, ownership, packing, page_lines, positional, rule_ensemble, simhash, url_trees
+from staffcast.llm import (
+    count_min, feistel, licenses, max_score, ownership, packing, page_lines, positional, rule_ensemble, simhash, spelling,
+    url_trees, whitening,
+)
 
 QUERIES = {
     "op1_rule_ensemble": rule_ensemble.op1_rule_ensemble,
@@ -15,5 +18,8 @@ QUERIES = {
     "op8_url_trees": url_trees.op8_url_trees,
     "op9_positional": positional.op9_positional,
     "op10_simhash": simhash.op10_simhash,
+    "op11_q_chunks": spelling.op11_q_chunks,
+    "op12_feast": whitening.op12_feast,
+    "op13_rare_tokens": licenses.op13_rare_tokens,
 }
 ORACLES = {"op7_maxscore": max_score.SQL}
