@@ -10,8 +10,10 @@ from checks.rows import ZONE_SQL, fold_sql
 from checks.stop_words import STOP_WORDS
 from staffcast import settings as S
 from staffcast.functions import rules, text
+from staffcast.functions.wide import double_array
 from staffcast.operators import (
-    binning, correlation, encoding, fallback, outliers, profile, quantiles, rates, sampling, shares, training, upsert,
+    binning, correlation, encoding, fallback, near_search, outliers, profile, quantiles, rates, sampling, shares,
+    training, upsert,
 )
 from staffcast.plans import features as P
 from staffcast.staging import stage
@@ -607,9 +609,7 @@ def corr_matrix(spark, sf_dir):
     return correlation.correlation_table(_numbers(spark, sf_dir), NUMBERS).withColumn("r", F.round("r", 6))
 
 
-@query(
-    "lof",
-    """WITH p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+LOF_SQL = """WITH p AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
     ranked AS (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.v, b.v) AS d,
       row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS n
       FROM p a JOIN p b ON a.vec_id <> b.vec_id),
@@ -617,13 +617,50 @@ def corr_matrix(spark, sf_dir):
     far AS (SELECT i, max(d) AS k FROM near GROUP BY i),
     density AS (SELECT near.i, 1 / (avg(greatest(d, k)) + 1e-10) AS lrd FROM near JOIN far ON far.i = near.j GROUP BY near.i)
     SELECT near.i AS vec_id, round(avg(o.lrd) / any_value(s.lrd), 6) AS lof, CAST(avg(o.lrd) / any_value(s.lrd) > 1.5 AS INTEGER) AS outlier
-    FROM near JOIN density o ON o.i = near.j JOIN density s ON s.i = near.i GROUP BY near.i""",
-)
-def lof(spark, sf_dir):
-    found = outliers.local_outlier_factor(V.table(spark, sf_dir, "embeddings"), "vec_id", F.col("embedding"), 7)
+    FROM near JOIN density o ON o.i = near.j JOIN density s ON s.i = near.i GROUP BY near.i"""
+
+
+def _lof(spark, sf_dir, search):
+    found = outliers.local_outlier_factor(V.table(spark, sf_dir, "embeddings"), "vec_id", F.col("embedding"), 7, search=search)
     return found.select("vec_id", F.round("lof", 6).alias("lof"), (F.col("lof") > 1.5).cast("int").alias("outlier"))
 
 
+@query("lof", LOF_SQL)
+def lof(spark, sf_dir):
+    return _lof(spark, sf_dir, "exact")
+
+
+@query("lof_hashes", LOF_SQL)
+def lof_hashes(spark, sf_dir):
+    """Neighbours by random hashes: all of them up to the size of a block, most of them beyond."""
+    return _lof(spark, sf_dir, "hashes")
+
+
+@query(
+    "lof_recall",
+    _sql(
+        """SELECT 'embeddings' AS points, count(DISTINCT embedding) AS vectors, true AS enough FROM embeddings
+           UNION ALL SELECT 'requests', count(*), true FROM (SELECT DISTINCT coalesce(CAST(required_positions AS DOUBLE), 0),
+             coalesce(CAST(RequestSalary AS DOUBLE), 0), coalesce(CAST(tech_hours AS DOUBLE), 0), coalesce(CAST(job_level AS DOUBLE), 0),
+             coalesce(CAST(tech_tenure AS DOUBLE), 0) FROM eligible WHERE target <> -1)""",
+        V.ELIGIBLE_SQL,
+    ),
+)
+def lof_recall(spark, sf_dir):
+    """Whether blocks of 100 rows, far fewer than there are, find nine tenths of the seven nearest that the exact search finds."""
+    closed = V.eligible(spark, sf_dir).filter("target <> -1")
+    numbers = double_array(["required_positions", "RequestSalary", "tech_hours", "job_level", "tech_tenure"], "0.0D")
+    embeddings = V.table(spark, sf_dir, "embeddings")
+    rows = []
+    for name, df, key, vector in (("embeddings", embeddings, "vec_id", F.col("embedding")), ("requests", closed, "request_code", numbers)):
+        points = df.select(F.col(key).alias("id"), vector.cast("array<double>").alias("v"))
+        copies, residents = outliers.distinct_vectors(points, 7)
+        found, _ = near_search.nearest_by_hashes(residents, 7, block_rows=100)
+        share = near_search.recall(found, stage(outliers.nearest(residents, 7), "exact"))
+        rows.append((name, copies.count(), share >= 0.9))
+    return spark.createDataFrame(rows, "points string, vectors long, enough boolean")
+
+
 # ---- upserts -----------------------------------------------------------------------
 
 LAST_SQL = """SELECT user_id, last(event_type ORDER BY ts, event_id) AS event_type,

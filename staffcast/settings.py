@@ -83,6 +83,8 @@ class Settings:
     zone_percent: float = 2.0
     neighbours: int = 7
     outlier_cut: float = 1.5
+    # "hashes": neighbours for outlier factors by random hashes, most of them found; "exact": all, at the cost of all pairs.
+    outlier_search: str = "hashes"
     train_percent: int = 85
     folds: int = 5
     trees: int = 128
