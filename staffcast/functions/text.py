@@ -127,3 +127,9 @@ def feature_map(names: Sequence[str]) -> Column:
     keys = F.array(*[F.lit(n) for n in names])
     values = F.array(*[F.col(f"`{n}`").cast("double") for n in names])
     return F.to_json(F.map_from_arrays(keys, values))
+
+
+def values_map(names: Sequence[str], array: Column, places: Sequence[int]) -> Column:
+    """JSON object of some elements of an array under the given names, in the given order."""
+    values = F.transform(F.array(*[F.lit(p) for p in places]), lambda p: F.get(array, p))
+    return F.to_json(F.map_from_arrays(F.array(*[F.lit(n) for n in names]), values))

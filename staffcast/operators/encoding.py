@@ -12,18 +12,8 @@ from pyspark.sql import functions as F
 from staffcast import settings as S
 from staffcast.functions.text import split_values, tokens
 from staffcast.functions.wide import quoted
-from staffcast.staging import lookup_join, stage
-
-# Columns a fitted list may turn into before the caller must choose the long or vector form.
-MAX_COLUMNS = 20_000
-
-
-def _bounded_list(df: DataFrame, what: str) -> list[tuple]:
-    rows = df.limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ValueError(f"{what}: more than {MAX_COLUMNS} columns; use the long or vector form")
-    return sorted(tuple(r) for r in rows)
-
+from staffcast.operators.sparse import numbered_in_order
+from staffcast.staging import lookup_join
 
 def distinct_names(names: Sequence[str]) -> list[str]:
     """The names, with a number after each that is taken already; Spark tells names apart without regard to case."""
@@ -53,9 +43,9 @@ def value_counts_by_key(df: DataFrame, key: str, column: str, name: str, missing
 
 
 def fit_values(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct slots of a delimited list column."""
+    """Sorted distinct slots of a delimited list column, for wide forms; :mod:`staffcast.operators.sparse` needs no such list."""
     slots = df.select(F.explode(split_values(F.col(column))).alias("v"))
-    return [v for (v,) in _bounded_list(slots.filter("v is not null").distinct(), column)]
+    return sorted(r["v"] for r in slots.filter("v is not null").distinct().collect())
 
 
 def value_columns(column: str, values: Sequence[str], prefix: str) -> dict[str, Column]:
@@ -90,7 +80,7 @@ def frequent_terms(df: DataFrame, text: Column, stop_words: Sequence[str], min_s
 
 def fit_terms(df: DataFrame, text: Column, stop_words: Sequence[str], min_share: float) -> list[str]:
     """Sorted vocabulary; its size is bounded by the mean number of distinct terms / ``min_share``."""
-    return [t for (t,) in _bounded_list(frequent_terms(df, text, stop_words, min_share).select("term"), "keywords")]
+    return sorted(r["term"] for r in frequent_terms(df, text, stop_words, min_share).select("term").collect())
 
 
 def term_counts(df: DataFrame, key: str, text: Column, stop_words: Sequence[str], terms: Sequence[str]) -> DataFrame:
@@ -108,6 +98,18 @@ def merge_terms(terms: Sequence[str]) -> dict[str, list[str]]:
     return {**{t: [t] for t in sorted(terms) if t not in used}, **grouped}
 
 
+def merged_terms(text: Column, stop_words: Sequence[str], terms: Sequence[str]) -> Column:
+    """List of the vocabulary's terms in a text, each as often as it occurs, under the name of its group if it has one."""
+    if not terms:
+        return F.array().cast("array<string>")
+    names = {t: name for name, group in merge_terms(terms).items() if name not in terms or len(group) > 1 for t in group}
+    known = F.filter(tokens(text, stop_words), lambda t: t.isin(*terms))
+    if not names:
+        return known
+    renamed = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.transform(known, lambda t: F.coalesce(F.try_element_at(renamed, t), t))
+
+
 def add_term_columns(
     df: DataFrame, text: Column, stop_words: Sequence[str], terms: Sequence[str], prefix: str = "kw_"
 ) -> DataFrame:
@@ -132,12 +134,12 @@ def add_term_columns(
 
 
 def fit_categories(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct values of several columns in one aggregation."""
+    """Sorted distinct values of several columns in one aggregation, for wide forms; see :mod:`staffcast.operators.sparse`."""
     pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for column, value in _bounded_list(df.select(pairs).filter("value is not null").distinct(), "categories"):
-        found[column].append(value)
-    return found
+    for row in df.select(pairs).filter("value is not null").distinct().collect():
+        found[row["column"]].append(row["value"])
+    return {c: sorted(values) for c, values in found.items()}
 
 
 def one_hot_columns(categories: Mapping[str, Sequence[str]]) -> dict[str, Column]:
@@ -159,17 +161,7 @@ def fit_index(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Positions follow column and value, counted over range partitions, so no task holds all values.
     """
     pairs = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns]))
-    found = df.select(pairs).filter("value IS NOT NULL").distinct().orderBy("column", "value")
-    found = stage(found.withColumn("_at", F.monotonically_increasing_id()), "values")
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    sizes = {r["_part"]: r["n"] for r in found.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).collect()}
-    before, total = [], 0
-    for p in sorted(sizes):
-        before.append((p, total))
-        total += sizes[p]
-    starts = df.sparkSession.createDataFrame(before, "_part long, _before long")
-    numbered = found.withColumn("_part", part).join(F.broadcast(starts), "_part")
-    return stage(numbered.select("column", "value", (F.col("_before") + place).alias("position")), "index")
+    return numbered_in_order(df.select(pairs).filter("value IS NOT NULL").distinct(), ["column", "value"], "position")
 
 
 def one_hot_sparse(df: DataFrame, key: str, index: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ Parquet and applied by a size-checked join).
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from staffcast import settings as S
 from staffcast.functions import rules, text
-from staffcast.operators import binning, correlation, encoding, fallback, filters, profile, rates, scaling, shares
+from staffcast.operators import binning, encoding, fallback, filters, profile, rates, shares, sparse
 from staffcast.plans.cleaning import clean_requests, clean_salary
 from staffcast.settings import Settings
-from staffcast.staging import stage
+from staffcast.staging import lookup_join, stage
 
 KEY = "request_code"
 
@@ -55,6 +55,8 @@ SPENT = (
 # Columns that are features themselves (fixed names).
 DIRECT = ("required_positions", "priority", "service_type", "remote_work", "tech_hours", "request_difficulty", "job_level")
 SOURCES = (*DIRECT, *SPENT, "target")
+# Columns with lists of values, by the prefix of what they encode to.
+LISTS = {"kw": "_keywords", "lang": "_languages"}
 # Salary-dependent columns that models do not see (fixed names).
 SALARY_DEPENDENT = (
     "RequestSalary", "SalaryQuartile", "SalaryDecile", "DesiredSalaryRatio", "DesiredSalaryRatio12", "neg_corr",
@@ -68,14 +70,12 @@ class FeatureModel:
     settings: Settings
     stop_words: list[str] = field(default_factory=list)
     terms: list[str] = field(default_factory=list)
-    languages: list[str] = field(default_factory=list)
     edges: dict = field(default_factory=dict)
     frequent: dict = field(default_factory=dict)
     negative_roles: list[str] = field(default_factory=list)
-    categories: dict = field(default_factory=dict)
-    encoded_columns: list[str] = field(default_factory=list)
-    bounds: dict = field(default_factory=dict)
-    model_columns: list[str] = field(default_factory=list)
+    numbers: list[str] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+    width: int = 0
     tables: dict[str, DataFrame] = field(default_factory=dict)
 
     # ---- applying ------------------------------------------------------------
@@ -93,10 +93,10 @@ class FeatureModel:
         )
 
     def describe(self, filled: DataFrame) -> DataFrame:
-        """All features before encoding; projections only."""
-        stop, conf = self.stop_words, self.settings
-        rows = encoding.add_term_columns(filled, text.fold_text(F.col("minimum_requirements")), stop, self.terms)
-        rows = rows.withColumns(encoding.value_columns("languages", self.languages, "lang_"))
+        """All features before encoding, keywords and languages as lists; projections only."""
+        spoken = F.filter(text.split_values(F.col("languages")), lambda v: v != S.NO_LANGUAGE)
+        folded = text.fold_text(F.col("minimum_requirements"))
+        rows = filled.withColumns({"_keywords": encoding.merged_terms(folded, self.stop_words, self.terms), "_languages": spoken})
         rows = rows.withColumns(_row_features())
         bins = {
             name: binning.bin_index(F.col(column), self.edges[column][parts])
@@ -116,17 +116,27 @@ class FeatureModel:
         return rows.withColumn("neg_corr", negative.cast("int")).drop("work_zone", *SPENT)
 
     def encode(self, described: DataFrame) -> DataFrame:
-        """Numeric columns and one-hot categories, in the fitted order."""
-        encoded = described.withColumns(encoding.one_hot_columns(self.categories))
-        return encoding.align_columns(encoded, [KEY, "target"], self.encoded_columns)
-
-    def scale(self, encoded: DataFrame) -> DataFrame:
-        return scaling.scale_columns(encoded, [KEY, "target"], self.bounds)
+        """Cells ``request_code, target, position, value`` of number columns, keywords, languages and categories."""
+        return sparse.encode(described, KEY, "target", self.numbers, sparse.value_lists(self.texts, LISTS), self.tables["columns"])
 
     def transform(self, cleaned: DataFrame) -> DataFrame:
-        """Key, target and the model's columns of cleaned rows."""
-        scaled = self.scale(self.encode(self.describe(self.fill(self.eligible(cleaned)))))
-        return encoding.align_columns(scaled, [KEY, "target"], self.model_columns)
+        """Key, target and the vector of the model's features of cleaned rows."""
+        cells = stage(self.encode(self.describe(self.fill(self.eligible(cleaned)))), "cells")
+        return self.vectors(cells)
+
+    def vectors(self, cells: DataFrame) -> DataFrame:
+        return sparse.scaled_vectors(cells, KEY, "target", self.tables["columns"].filter("place IS NOT NULL"), self.width)
+
+    def feature_names(self) -> list[str]:
+        """Names of the vector's places, in order."""
+        chosen = self.tables["columns"].filter("place IS NOT NULL").orderBy("place").select("source", "value").collect()
+        return encoding.distinct_names([f"{r['source']}_{r['value']}" if r["source"] else r["value"] for r in chosen])
+
+    def with_places_of(self, other: FeatureModel) -> FeatureModel:
+        """This model's statistics with the other's choice and order of features."""
+        places = other.tables["columns"].filter("place IS NOT NULL").select("source", "value", "place")
+        columns = lookup_join(self.tables["columns"].drop("place"), places, ["source", "value"])
+        return replace(self, width=other.width, tables={**self.tables, "columns": stage(columns, "columns")})
 
     # ---- saving --------------------------------------------------------------
 
@@ -145,14 +155,14 @@ class FeatureModel:
         settings = plain.pop("settings")
         settings["as_of"] = date.fromisoformat(settings["as_of"])
         plain["edges"] = {c: {int(n): e for n, e in by.items()} for c, by in plain["edges"].items()}
-        names = ("favourable", "salary_medians", "consolidation_medians", "coverage_medians")
+        names = ("favourable", "salary_medians", "consolidation_medians", "coverage_medians", "columns")
         tables = {n: spark.read.parquet(f"{path}/tables/{n}") for n in names}
         return FeatureModel(settings=Settings(**settings), tables=tables, **plain)
 
 
 @dataclass
 class Features:
-    """Results of a batch run: cleaned rows, encoded rows, model input, and the fitted model."""
+    """Results of a batch run: cleaned rows, cells of the encoded rows, vectors for the model, and the fitted model."""
 
     initial: DataFrame
     encoded: DataFrame
@@ -174,7 +184,6 @@ def fit_features(
     with_client = cleaned.select(KEY, *SOURCES).na.drop(subset=["client_code"])
     success = rates.success_rates(with_client, list(RATE_FLAGS), "target", conf.min_group_rows)
     model.tables["favourable"] = stage(rates.favourable_values(success, conf.favourable_quantile), "favourable")
-    model.languages = [v for v in encoding.fit_values(with_client, "languages") if v != S.NO_LANGUAGE]
 
     eligible = _plausible(with_client)
     model.tables["salary_medians"] = stage(salary_medians(salary), "salary_medians")
@@ -198,23 +207,22 @@ def fit_features(
         r["GroupedPosition"] for r in effect.filter("neg_corr = 1").select("GroupedPosition").collect()
     )
 
-    described = model.describe(filled)
-    visible = described.drop(*SALARY_DEPENDENT)
-    strings = [c for c, t in visible.dtypes if t == "string" and c != KEY]
-    model.categories = encoding.fit_categories(visible, strings)
-    numeric = [c for c in visible.columns if c not in (KEY, "target", *strings)]
-    model.encoded_columns = numeric + list(encoding.one_hot_columns(model.categories))
-
-    encoded = stage(model.encode(described), "encoded")
-    stats = scaling.column_stats(encoded, model.encoded_columns)
-    model.bounds = scaling.bounds_of(stats)
-    # Correlations do not change under scaling, so they are taken from the unscaled columns.
-    related = correlation.target_related(
-        encoded.filter("target <> -1"), model.encoded_columns, "target", conf.target_corr_quantile
-    )
-    model.model_columns = correlation.not_redundant(encoded, related, conf.redundancy_cut, stats)
-    final = scaling.scale_columns(encoded, [KEY, "target"], {c: model.bounds[c] for c in model.model_columns})
-    return Features(cleaned, encoded, final, model)
+    described = stage(model.describe(filled).drop(*SALARY_DEPENDENT), "described")
+    kinds = dict(described.dtypes)
+    model.texts = [c for c, t in kinds.items() if t == "string" and c != KEY]
+    model.numbers = [c for c in kinds if c not in (KEY, "target", *model.texts, *LISTS.values())]
+    positions = sparse.fit_positions(described, model.numbers, sparse.value_lists(model.texts, LISTS))
+    model.tables["columns"] = positions
+    encoded, n, rows = stage(model.encode(described), "encoded"), len(model.numbers), described.count()
+    stats = sparse.column_stats(encoded, rows, n)
+    # Correlations do not change under scaling, so they are taken from the unscaled values.
+    related = sparse.target_related(encoded.filter("target <> -1"), "target", n, stats, conf.target_corr_quantile)
+    kept = sparse.not_redundant(encoded, KEY, related, stats, positions, n, rows, conf.redundancy_cut)
+    places = sparse.numbered_in_order(kept.select("position", "strength", "name"), [F.desc("strength"), "name"], "place")
+    columns = lookup_join(positions, stats.select("position", "least", "greatest"), ["position"])
+    columns = lookup_join(columns, places.select("position", "strength", "place"), ["position"])
+    model.tables["columns"], model.width = stage(columns, "columns"), places.count()
+    return Features(cleaned, encoded, model.vectors(encoded), model)
 
 
 def salary_medians(salary: DataFrame) -> DataFrame:

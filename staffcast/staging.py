@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # A lookup table is broadcast up to this many bytes of values; beyond it the join shuffles.
 BROADCAST_BYTES = 16_000_000
@@ -30,8 +31,8 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and read it back.
+def stage(df: DataFrame, name: str, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` once and read it back, as ``schema`` if given (types that are stored alike).
 
     Later passes then read a file with known size and pruned columns instead of repeating the
     lineage, and a lost executor costs no more than the tasks it ran.
@@ -42,7 +43,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
         scope.append(path)
     # Staged tables are read few times; the stronger compression keeps the shared folder small.
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema if schema is None else schema).parquet(path)
 
 
 @contextmanager

@@ -86,14 +86,6 @@ def test_keywords(spark):
     assert encoding.add_term_columns(df, folded, [], []).columns == df.columns
 
 
-def test_wide_lists_are_refused_with_a_way_out(spark, monkeypatch):
-    monkeypatch.setattr(encoding, "MAX_COLUMNS", 3)
-    df = spark.range(5).select(F.col("id").cast("string").alias("k"), F.col("id").cast("string").alias("v"))
-    with pytest.raises(ValueError, match="long or vector form"):
-        encoding.fit_categories(df, ["v"])
-    assert encoding.one_hot_long(df, "k", ["v"]).count() == 5
-
-
 def test_names_that_differ_in_case_alone(spark):
     df = spark.createDataFrame([(1, "High", "English|english", "c"), (2, "high", "english", "b_c"), (3, "HIGH", None, "x")], "i int, a string, l string, a_b string")
     made = df.withColumns(encoding.value_columns("l", encoding.fit_values(df, "l"), "lang_"))
