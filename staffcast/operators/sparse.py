@@ -173,7 +173,7 @@ def target_related(cells: DataFrame, target: str, numbers: int, stats: DataFrame
     spread = (n * F.col("xx") - F.col("x") * F.col("x")) * (n * stt - st * st)
     r = F.when(varies & (spread > 0), F.abs(cross / F.sqrt(spread)))
     # Rounded, so that columns that are alike in all rows come out as equally strong.
-    strength = stage(sums.select("position", F.round(r, 12).alias("strength")).filter("strength IS NOT NULL"), "strengths")
+    strength = stage(sums.select("position", F.round(r, 9).alias("strength")).filter("strength IS NOT NULL"), "strengths")
     constant = total["n"] * total["tt"] == total["t"] ** 2
     own = strength.sparkSession.createDataFrame([] if constant else [(-1, 1.0)], "position long, strength double")
     cut = group_quantiles(strength.unionByName(own).withColumn("g", F.lit(1)), ["g"], "strength", [quantile]).first()

@@ -174,6 +174,23 @@ def fit_features(
     requests: DataFrame, salary: DataFrame, conf: Settings, stop_words: list[str] | None = None
 ) -> Features:
     """Fit the feature model on raw requests and salaries and compute the model input."""
+    cleaned, encoded, rows, model = fit_encoding(requests, salary, conf, stop_words)
+    positions, n = model.tables["columns"], len(model.numbers)
+    stats = sparse.column_stats(encoded, rows, n)
+    # Correlations do not change under scaling, so they are taken from the unscaled values.
+    related = sparse.target_related(encoded.filter("target <> -1"), "target", n, stats, conf.target_corr_quantile)
+    kept = sparse.not_redundant(encoded, KEY, related, stats, positions, n, rows, conf.redundancy_cut)
+    places = sparse.numbered_in_order(kept.select("position", "strength", "name"), [F.desc("strength"), "name"], "place")
+    columns = lookup_join(positions, stats.select("position", "least", "greatest"), ["position"])
+    columns = lookup_join(columns, places.select("position", "strength", "place"), ["position"])
+    model.tables["columns"], model.width = stage(columns, "columns"), places.count()
+    return Features(cleaned, encoded, model.vectors(encoded), model)
+
+
+def fit_encoding(
+    requests: DataFrame, salary: DataFrame, conf: Settings, stop_words: list[str] | None = None
+) -> tuple[DataFrame, DataFrame, int, FeatureModel]:
+    """Cleaned rows, cells of the encoded rows, their number, and a model that knows all columns but has chosen none."""
     cleaned = stage(clean_requests(requests, conf), "cleaned")
     filters.assert_unique(cleaned, KEY)
     model = FeatureModel(conf)
@@ -211,18 +228,8 @@ def fit_features(
     kinds = dict(described.dtypes)
     model.texts = [c for c, t in kinds.items() if t == "string" and c != KEY]
     model.numbers = [c for c in kinds if c not in (KEY, "target", *model.texts, *LISTS.values())]
-    positions = sparse.fit_positions(described, model.numbers, sparse.value_lists(model.texts, LISTS))
-    model.tables["columns"] = positions
-    encoded, n, rows = stage(model.encode(described), "encoded"), len(model.numbers), described.count()
-    stats = sparse.column_stats(encoded, rows, n)
-    # Correlations do not change under scaling, so they are taken from the unscaled values.
-    related = sparse.target_related(encoded.filter("target <> -1"), "target", n, stats, conf.target_corr_quantile)
-    kept = sparse.not_redundant(encoded, KEY, related, stats, positions, n, rows, conf.redundancy_cut)
-    places = sparse.numbered_in_order(kept.select("position", "strength", "name"), [F.desc("strength"), "name"], "place")
-    columns = lookup_join(positions, stats.select("position", "least", "greatest"), ["position"])
-    columns = lookup_join(columns, places.select("position", "strength", "place"), ["position"])
-    model.tables["columns"], model.width = stage(columns, "columns"), places.count()
-    return Features(cleaned, encoded, model.vectors(encoded), model)
+    model.tables["columns"] = sparse.fit_positions(described, model.numbers, sparse.value_lists(model.texts, LISTS))
+    return cleaned, stage(model.encode(described), "encoded"), described.count(), model
 
 
 def salary_medians(salary: DataFrame) -> DataFrame:

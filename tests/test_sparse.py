@@ -84,10 +84,10 @@ def test_filters_equal_the_wide_ones(spark, monkeypatch, seed, cut, quantile):
     _, _, related, kept, names = chosen(df, rows, cut, quantile)
     expected = wide(rows)
     closed = expected[expected["target"] != -1]
-    strength = closed.drop(columns="target").corrwith(closed["target"]).abs().dropna().drop("flat", errors="ignore").round(12)
+    strength = closed.drop(columns="target").corrwith(closed["target"]).abs().dropna().drop("flat", errors="ignore").round(9)
     limit = np.quantile([*strength, 1.0], quantile)
     assert {names[r.position]: r.strength for r in related.collect()} == pytest.approx({c: v for c, v in strength.items() if v >= limit}, abs=1e-9)
-    order = sorted((c for c in strength.index if strength[c] >= limit), key=lambda c: (-round(strength[c], 12), c))
+    order = sorted((c for c in strength.index if strength[c] >= limit), key=lambda c: (-strength[c], c))
     matrix = expected[order].corr().abs().fillna(0).to_numpy()
     want = [c for j, c in enumerate(order) if not (matrix[:j, j] >= cut).any()]
     assert sorted(r.name for r in kept.collect()) == sorted(want)
