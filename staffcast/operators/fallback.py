@@ -8,36 +8,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffcast.operators.quantiles import group_quantiles
-from staffcast.staging import lookup_join
+from staffcast.staging import lookup_join, stage
 
 
 def level_medians(
     df: DataFrame, levels: Sequence[Sequence[str]], value: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Medians at every level in one aggregation: ``level``, keys (NULL when rolled up), ``median``.
+    """Medians at every level: ``level``, keys (NULL when rolled up), ``median``. ``df`` is staged.
 
     The level number tells a rolled-up key from a missing one; rows missing a key that their level
-    keeps are left out, as they can never match.
+    keeps are left out, as they can never match. Rows are counted once, at all keys together; the sizes of all levels' groups are sums
+    of these counts, and no row is copied.
     """
-    keys = list(dict.fromkeys(k for level in levels for k in level))
-    types = dict(df.dtypes)
-
-    def entry(number, level):
-        kept = [F.col(k) if k in level else F.lit(None).cast(types[k]) for k in keys]
-        complete = F.lit(True)
-        for k in level:
-            complete = complete & F.col(k).isNotNull()
-        return F.when(
-            complete, F.struct(F.lit(number).alias("level"), *[c.alias(k) for c, k in zip(kept, keys)])
-        )
-
-    spread = df.filter(F.col(value).isNotNull()).select(
-        *by,
-        F.col(value).alias("_value"),
-        F.explode(F.array(*[entry(i, level) for i, level in enumerate(levels)])).alias("_at"),
-    ).filter(F.col("_at").isNotNull()).select(*by, "_value", "_at.*")
-    medians = group_quantiles(spread, [*by, "level", *keys], "_value", [0.5])
-    return medians.select(*by, "level", *keys, F.col("q")[0].alias("median"))
+    by, keys = list(by), list(dict.fromkeys(k for level in levels for k in level))
+    known = df.filter(F.col(value).isNotNull())
+    counts = stage(known.groupBy(*by, *keys).agg(F.count("*").alias("n")), "level_counts")
+    out = None
+    for number, level in enumerate(levels):
+        sizes = counts.na.drop(subset=list(level)).groupBy(*by, *level).agg(F.sum("n").alias("n"))
+        medians = group_quantiles(known.na.drop(subset=list(level)), [*by, *level], value, [0.5], sizes=sizes)
+        rolled = [F.col(k) if k in level else F.lit(None).cast(dict(df.dtypes)[k]).alias(k) for k in keys]
+        part = medians.select(*by, F.lit(number).alias("level"), *rolled, F.col("q")[0].alias("median"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def fill_by_levels(

@@ -1,27 +1,23 @@
 """Exact linear-interpolation quantiles that hold at any group size.
 
-Numbering the values of a group takes one task per group. That is the right plan while groups are
-small, so it is used up to ``state_rows`` rows per group. Larger groups are solved by bracketing:
-
-1. a mergeable sketch gives, per group and probability, a narrow interval around the wanted ranks;
-2. one aggregate counts the values below each interval and, by value, those inside;
-3. only the inside values are ordered, and the ranks picked.
-
-The counts prove whether an interval holds the ranks; those that do not are widened, in the end to the
-whole range, so the result is always exact. No step gathers a group in one task.
+Groups up to ``state_rows`` rows are counted by value in the state of one aggregate. Larger ones are solved by narrowing: one mergeable
+aggregate counts a group's values in :data:`BUCKETS` equal parts of its range, with the least and greatest value of each; the part that
+holds a wanted rank is the next range, until it is a single value. Parts are taken of the order of all doubles, by their bits, so nine
+passes are enough for any values, and three or four for most. Each pass narrows all groups and ranks at once and shuffles
+counts, not rows; no step sorts or gathers a group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from staffcast.staging import lookup_join, stage
 
 STATE_ROWS = 100_000
-SKETCH_ACCURACY = 100_000
+BUCKETS = 1024
 
 
 def group_quantiles(
@@ -30,23 +26,23 @@ def group_quantiles(
     value: str,
     probs: Sequence[float],
     state_rows: int | None = None,
-    accuracy: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Quantiles of ``value`` per group: columns ``keys``, ``n`` and ``q`` (array in order of ``probs``).
 
-    Rows with a missing value are ignored; groups without any value do not appear.
+    Rows with a missing value are ignored; groups without any value do not appear. ``sizes``, if known, has ``keys`` and the rows ``n`` of
+    each group. ``df`` is read several times where a group is large.
     """
     state_rows = STATE_ROWS if state_rows is None else state_rows
-    accuracy = SKETCH_ACCURACY if accuracy is None else accuracy
     keys, probs = list(keys), [float(p) for p in probs]
     rows = df.select(*keys, F.col(value).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    sizes = stage(rows.groupBy(*keys).agg(F.count("*").alias("n")), "sizes")
+    sizes = stage(rows.groupBy(*keys).agg(F.count("*").alias("n")), "sizes") if sizes is None else sizes
     large = sizes.filter(F.col("n") > state_rows)
     if large.isEmpty():
-        return _by_rank(rows, keys, probs)
-    marked = lookup_join(rows, large, keys, null_safe=True)
-    small = _by_rank(marked.filter(F.col("n").isNull()), keys, probs)
-    return small.unionByName(_by_brackets(marked.filter(F.col("n").isNotNull()), keys, probs, accuracy))
+        return _in_state(rows, keys, probs)
+    marked = lookup_join(rows, stage(large.select(*keys, "n"), "large"), keys, null_safe=True)
+    small = _in_state(marked.filter(F.col("n").isNull()), keys, probs)
+    return small.unionByName(_by_narrowing(marked.filter(F.col("n").isNotNull()).select(*keys, "_x"), keys, probs))
 
 
 def column_quantiles(
@@ -78,93 +74,68 @@ def _between(low: Column, high: Column, position: Column) -> Column:
     return F.when(low == high, low).otherwise(low * (1 - weight) + high * weight)
 
 
-def _by_rank(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
-    """Number the values of each group; one shuffle and one sort, for groups of bounded size."""
-    group = Window.partitionBy(*keys)
-    ranked = rows.select(
-        *keys,
-        "_x",
-        (F.row_number().over(group.orderBy("_x")) - 1).alias("_rank"),
-        F.count("*").over(group).alias("n"),
-    )
+def _in_state(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles of groups of bounded size: values are counted before the shuffle and ranked in the state of one aggregate."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.percentile("_x", _prob_array(probs)).alias("q"))
 
-    def at(place):
-        return F.max(F.when(F.col("_rank") == place, F.col("_x")))
 
-    positions = [(F.col("n") - 1) * F.lit(p) for p in probs]
-    ends = [(at(F.floor(pos)).alias(f"_l{i}"), at(F.ceil(pos)).alias(f"_h{i}")) for i, pos in enumerate(positions)]
-    picked = ranked.groupBy(*keys).agg(F.first("n").alias("n"), *[e for pair in ends for e in pair])
-    values = [_between(F.col(f"_l{i}"), F.col(f"_h{i}"), pos) for i, pos in enumerate(positions)]
-    return picked.select(*keys, "n", F.array(*values).alias("q"))
+def _order(value: str) -> Column:
+    """A whole number that rises with a number: its bits, those of negative ones turned round."""
+    bits = f"CAST(java_method('java.lang.Double', 'doubleToLongBits', {value} + 0.0D) AS BIGINT)"
+    return F.expr(f"CASE WHEN {bits} < 0 THEN {bits} ^ 9223372036854775807L ELSE {bits} END")
 
 
-def _by_brackets(rows: DataFrame, keys: list[str], probs: list[float], accuracy: int) -> DataFrame:
-    """``rows`` carries ``keys``, ``n`` (rows of the group) and the value ``_x``."""
-    margin = 2.0 / accuracy
-    todo, done = None, []
-    while True:
-        brackets = _brackets(rows, keys, probs, accuracy, margin)
-        if todo is not None:
-            brackets = lookup_join(brackets, todo, [*keys, "slot"], how="left_semi", null_safe=True)
-        picked = stage(_pick(rows, stage(brackets, "brackets"), keys), "picked")
-        done.append(picked.filter(F.col("low").isNotNull() & F.col("high").isNotNull()))
-        todo = picked.filter(F.col("low").isNull() | F.col("high").isNull()).select(*keys, "slot")
-        if margin >= 1.0 or todo.isEmpty():
-            break
-        margin = min(1.0, margin * 64)
-    found = done[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    value = _between(F.col("low"), F.col("high"), F.col("position"))
-    return found.groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("slot", value.alias("v")))), lambda s: s["v"]
-        ).alias("q"),
-    )
+def _bucket() -> Column:
+    """Part of the range ``from`` to ``to`` in which ``at`` lies: the first and last for the ends, equal steps between them."""
+    # Halves, as the width of a range may be more than a whole number holds.
+    step = f"((shiftright(to, 1) - shiftright(from, 1)) div {BUCKETS - 2} + 1)"
+    inner = f"1 + least({BUCKETS - 3}, (shiftright(at, 1) - shiftright(from, 1)) div {step})"
+    return F.expr(f"CAST(CASE WHEN at <= from THEN 0 WHEN at >= to THEN {BUCKETS - 1} ELSE {inner} END AS INT)")
 
 
-def _brackets(rows: DataFrame, keys: list[str], probs: list[float], accuracy: int, margin: float) -> DataFrame:
-    """Per group and slot (index of a probability): the wanted position and an interval around it."""
-    ends = [min(1.0, max(0.0, p + side)) for p in probs for side in (-margin, margin)]
-    sketch = rows.groupBy(*keys).agg(
-        F.first("n").alias("n"),
-        F.min("_x").alias("least"),
-        F.max("_x").alias("most"),
-        F.approx_percentile("_x", _prob_array(ends), F.lit(accuracy)).alias("ends"),
-    )
-    slots = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("slot"),
-                ((F.col("n") - 1) * F.lit(p)).alias("position"),
-                (F.col("least") if p - margin <= 0 else F.col("ends")[2 * i]).alias("from"),
-                (F.col("most") if p + margin >= 1 else F.col("ends")[2 * i + 1]).alias("to"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
-    return sketch.select(*keys, "n", F.inline(slots))
-
-
-def _pick(rows: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
-    """Values at the two ranks around each position, NULL where the interval missed a rank."""
-    met = lookup_join(rows.drop("n"), brackets, keys, how="inner", null_safe=True).filter("_x <= to")
-    cells = met.groupBy(
-        *keys, "slot", "n", "position", F.when(F.col("_x") >= F.col("from"), F.col("_x")).alias("inside")
-    ).agg(F.count("*").alias("cell_rows"))
-    # The row with a NULL value carries everything below the interval and sorts first.
-    order = Window.partitionBy(*keys, "slot").orderBy(F.asc_nulls_first("inside"))
-    running = cells.withColumn("until", F.sum("cell_rows").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    before = F.col("until") - F.col("cell_rows")
-
-    def at(rank):
-        hit = (F.col("until") > rank) & (before <= rank)
-        return F.max(F.when(hit, F.col("inside")))
-
-    return running.groupBy(*keys, "slot").agg(
-        F.first("n").alias("n"),
-        F.first("position").alias("position"),
-        at(F.floor("position")).alias("low"),
-        at(F.ceil("position")).alias("high"),
-    )
+def _by_narrowing(rows: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Quantiles of groups of any size; ``rows`` has ``keys`` and ``_x``."""
+    whole = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high"))
+    positions = F.transform(_prob_array(probs), lambda p: (F.col("n") - 1) * p)
+    ranks = F.array_distinct(F.concat(F.transform(positions, lambda p: F.floor(p)), F.transform(positions, lambda p: F.ceil(p))))
+    groups = stage(whole.withColumns({"positions": positions, "ranks": ranks}), "groups")
+    # A range: the rows below it, and the ranks wanted from it.
+    ranges = groups.select(*keys, "low", "high", F.lit(0).cast("long").alias("before"), "ranks")
+    found = []
+    while True:
+        single = ranges.filter("low <=> high")
+        found.append(single.select(*keys, F.explode("ranks").alias("rank"), F.col("low").alias("value")))
+        ranges = stage(ranges.filter("NOT (low <=> high)").withColumns({"from": _order("low"), "to": _order("high")}), "ranges")
+        if ranges.isEmpty():
+            break
+        met = lookup_join(rows, ranges.drop("ranks", "before"), keys, how="inner", null_safe=True).filter("_x >= low AND _x <= high")
+        placed = met.select(*keys, "_x", "from", "to", _order("_x").alias("at"))
+        cells = placed.groupBy(*keys, "from", _bucket().alias("bucket")).agg(
+            F.count("*").alias("n"), F.min("_x").alias("low"), F.max("_x").alias("high")
+        )
+        cells = cells.groupBy(*keys, "from").agg(F.array_sort(F.collect_list(F.struct("bucket", "n", "low", "high"))).alias("cells"))
+        asked = lookup_join(cells, ranges.select(*keys, "from", "before", "ranks"), [*keys, "from"], how="inner", null_safe=True)
+        hit = F.transform("ranks", _cell_of_rank)
+        picked = asked.select(*keys, F.explode(F.arrays_zip(F.col("ranks").alias("rank"), hit.alias("cell"))).alias("_p"))
+        picked = picked.select(*keys, F.col("_p.rank").alias("rank"), "_p.cell.*")
+        ranges = stage(picked.groupBy(*keys, "low", "high", "before").agg(F.collect_list("rank").alias("ranks")), "narrowed")
+    values = found[0]
+    for more in found[1:]:
+        values = values.unionByName(more)
+    known = values.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+    joined = lookup_join(groups.select(*keys, "n", "positions"), stage(known, "ranked"), keys, null_safe=True)
+    at = lambda rank: F.element_at("at", rank)
+    return joined.select(*keys, "n", F.transform("positions", lambda p: _between(at(F.floor(p)), at(F.ceil(p)), p)).alias("q"))
+
+
+def _cell_of_rank(rank: Column) -> Column:
+    """Of a range's cells, in order, the one that holds the rank: its least and greatest value and the rows before it."""
+    cell = "struct<low:double,high:double,before:bigint>"
+    start = F.struct(F.col("before").alias("seen"), F.lit(None).cast(cell).alias("hit"))
+
+    def step(state: Column, c: Column) -> Column:
+        here = state["hit"].isNull() & (state["seen"] + c["n"] > rank)
+        hit = F.struct(c["low"].alias("low"), c["high"].alias("high"), state["seen"].alias("before")).cast(cell)
+        return F.struct((state["seen"] + c["n"]).alias("seen"), F.when(here, hit).otherwise(state["hit"]).alias("hit"))
+
+    return F.aggregate("cells", start, step)["hit"]

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -22,12 +24,13 @@ def hot_groups():
     return pd.concat(parts).astype({"x": float})
 
 
-@pytest.mark.parametrize("state_rows,accuracy", [(10**6, 1000), (500, 1000), (500, 20), (1, 3)])
-def test_group_quantiles_are_exact_on_every_path(spark, state_rows, accuracy):
+@pytest.mark.parametrize("state_rows,buckets", [(10**6, 1024), (500, 1024), (1, 64)])
+def test_group_quantiles_are_exact_on_every_path(spark, monkeypatch, state_rows, buckets):
+    monkeypatch.setattr(quantiles, "BUCKETS", buckets)
     pdf = hot_groups()
     df = spark.createDataFrame(list(pdf.itertuples(index=False, name=None)), "g string, x double").replace(float("nan"), None)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = quantiles.group_quantiles(df, ["g"], "x", probs, state_rows, accuracy).collect()
+    got = quantiles.group_quantiles(df, ["g"], "x", probs, state_rows).collect()
     assert {r["g"] for r in got} == {"hot", "same", "ties", "few", None}
     for row in got:
         values = pdf[pdf["g"].isna() if row["g"] is None else pdf["g"] == row["g"]]["x"].dropna()
@@ -35,6 +38,27 @@ def test_group_quantiles_are_exact_on_every_path(spark, state_rows, accuracy):
         np.testing.assert_allclose(row["q"], values.quantile(probs).to_numpy(), rtol=1e-12)
 
 
+def test_narrowing_holds_at_the_ends_of_numbers(spark, monkeypatch):
+    """Equal to sorting for very large, very small, infinite and crowded values, and no plan sorts or numbers rows."""
+    monkeypatch.setattr(quantiles, "BUCKETS", 130)
+    rng = np.random.default_rng(6)
+    crowded = [1.0 + k * 2.0**-52 for k in range(40)]
+    groups = {
+        "huge": [-1.7e308, 1.7e308, 1.6e308, -1.0, 0.0, 3.0], "tiny": [5e-324, 1e-323, 0.0, -5e-324, 1.5e-323], "crowded": [*crowded, 9.0],
+        "mixed": [*(10.0 ** rng.uniform(-300, 300, 50) * rng.choice([-1, 1], 50))], "infinite": [float("-inf"), float("inf"), 1.0, 2.0, 3.0, 4.0, 5.0],
+    }
+    df = spark.createDataFrame([(g, float(v)) for g, values in groups.items() for v in values], "g string, x double").repartition(3)
+    probs = [0.0, 0.2, 0.5, 0.75, 1.0]
+    made = quantiles.group_quantiles(df, ["g"], "x", probs, 1)
+    assert "Window" not in made._jdf.queryExecution().optimizedPlan().toString()
+    for row in made.collect():
+        values = sorted(groups[row["g"]])
+        for p, q in zip(probs, row["q"], strict=True):
+            at = (len(values) - 1) * p
+            low, high = values[math.floor(at)], values[math.ceil(at)]
+            assert q == (low if low == high else low * (1 - at % 1) + high * (at % 1)), (row["g"], p)
+
+
 def test_column_quantiles_of_large_columns(spark):
     rng = np.random.default_rng(2)
     pdf = pd.DataFrame({"a": rng.normal(size=3000), "b": rng.integers(0, 5, 3000).astype(float)})
