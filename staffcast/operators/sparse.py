@@ -78,11 +78,8 @@ def encode(df: DataFrame, key: str, target: str, numbers: Sequence[str], values:
     head = [F.col(quoted(key)), F.col(quoted(target))]
     base = df.select(*head, F.inline(dense))
     known = positions.filter("source <> ''").select("source", "value", "position")
-    # Counts of a row stay in its row; only different values are looked up.
-    counted = df.select(*head, values.alias("_v")).select(*head, F.explode(F.array_distinct("_v")).alias("_w"), "_v")
-    counted = counted.select(
-        *head, "_w.*", F.size(F.filter("_v", lambda p: (p["source"] == F.col("_w.source")) & (p["value"] == F.col("_w.value")))).alias("n")
-    )
+    # Entries are counted before the shuffle, so it carries the different values of a row.
+    counted = df.select(*head, F.inline(values)).groupBy(*head, "source", "value").agg(F.count("*").alias("n"))
     met = lookup_join(counted, known, ["source", "value"], how="inner")
     return base.unionByName(met.select(*head, "position", F.col("n").cast("double").alias("value")))
 
@@ -197,16 +194,19 @@ def _pair_sums(batches: Iterator[pa.RecordBatch], numbers: int, rows: float, cut
         x = np.asarray(flat.field("x").fill_null(0.0))
         missing = np.asarray(flat.field("x").is_null())
         ends = np.cumsum(counts)
-        at, held = 0, []
+        squares = np.cumsum(counts.astype(np.int64) ** 2)
+        used, own_place = np.unique(parts["position"], return_inverse=True)
+        at = 0
         while at < len(counts):
             # Some rows at a time, so that their pairs stay few.
-            to = max(at + 1, int(np.searchsorted(np.cumsum(counts[at:].astype(np.int64) ** 2), BATCH_PAIRS, "right")) + at)
+            before = squares[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(squares, before + BATCH_PAIRS, "right")))
             own = np.arange(ends[at] - counts[at], ends[to - 1])
-            last = np.repeat(ends[at:to], counts[at:to])
             # Cells of a row lie in order of position; each is paired with those after it.
-            after = last - own - 1
+            after = np.repeat(ends[at:to], counts[at:to]) - own - 1
             left = np.repeat(own, after)
             right = left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(after) - after, after)
+            at = to
             both = parts["position"][left] >= numbers
             s, d, g = (parts[f] for f in ("s", "d", "g"))
             with np.errstate(all="ignore"):
@@ -214,20 +214,15 @@ def _pair_sums(batches: Iterator[pa.RecordBatch], numbers: int, rows: float, cut
                 top = np.minimum(g[left] * s[right], g[right] * s[left]) - mean
                 reach = np.maximum(top, mean) / (d[left] * d[right])
             keep = ~both | (reach >= cut * (1 - 1e-9))
-            held.append((left[keep], right[keep]))
-            at = to
-        if not held:
-            continue
-        left, right = (np.concatenate(c) for c in zip(*held, strict=True))
-        pair = np.stack([parts["position"][left], parts["position"][right]], axis=1)
-        keys, which = np.unique(pair, axis=0, return_inverse=True) if len(pair) else (pair, np.zeros(0, np.int64))
-        a, b, ma, mb = x[left], x[right], missing[left], missing[right]
-        add = lambda v: np.bincount(which.ravel(), weights=v, minlength=len(keys))
-        columns = [
-            keys[:, 0], keys[:, 1], add(a * b), add(np.where(mb, a, 0)), add(np.where(mb, a * a, 0)), add(np.where(ma, b, 0)),
-            add(np.where(ma, b * b, 0)), add((ma & mb).astype(float)),
-        ]
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PAIRS, strict=True)], schema=PAIRS)
+            left, right = left[keep], right[keep]
+            pairs, which = np.unique(own_place[left] * len(used) + own_place[right], return_inverse=True)
+            a, b, ma, mb = x[left], x[right], missing[left], missing[right]
+            add = lambda v, which=which, size=len(pairs): np.bincount(which, weights=v, minlength=size)
+            columns = [
+                used[pairs // len(used)], used[pairs % len(used)], add(a * b), add(np.where(mb, a, 0)), add(np.where(mb, a * a, 0)),
+                add(np.where(ma, b, 0)), add(np.where(ma, b * b, 0)), add((ma & mb).astype(float)),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, PAIRS, strict=True)], schema=PAIRS)
 
 
 def not_redundant(cells: DataFrame, key: str, related: DataFrame, stats: DataFrame, names: DataFrame, numbers: int, rows: int, cut: float) -> DataFrame:
