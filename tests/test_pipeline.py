@@ -13,8 +13,7 @@ from staffcast.plans.cleaning import clean_requests
 from staffcast.plans.features import KEY, FeatureModel, fit_features
 from staffcast.plans.scoring import load_models, save_run, train_and_score
 from staffcast.settings import Settings
-from staffcast.sinks.tables import has_day
-from staffcast.sources.snapshots import read_latest
+from staffcast.sinks.runs import find_run, published_days, read_output
 from staffcast.staging import stage
 from staffcast.streaming.scoring import refit_scorer, score_rows
 from staffcast.streaming.store import RequestStore
@@ -79,11 +78,11 @@ def test_predictions_cover_the_open_requests(run):
 
 def test_saved_run_scores_like_the_fresh_one(spark, inputs, run, tmp_path):
     path = str(tmp_path)
-    for _ in range(2):
-        save_run(run, *inputs, CONF, path)
-    assert has_day(spark, f"{path}/predictions", V.AS_OF)
-    assert spark.read.parquet(f"{path}/predictions").count() == run.predictions.count()
-    assert read_latest(spark, f"{path}/requests").count() == inputs[0].filter("request_creation_date >= '2000-02-09'").count()
+    saved = [save_run(run, *inputs, CONF, path) for _ in range(2)]
+    assert [s.version for s in saved] == [1, 2] and find_run(spark, path) == saved[1]
+    assert published_days(spark, path) == [V.AS_OF]
+    assert read_output(spark, path, "predictions").count() == run.predictions.count()
+    assert read_output(spark, path, "requests").count() == inputs[0].filter("request_creation_date >= '2000-02-09'").count()
     model, forest = load_models(spark, path, V.AS_OF)
     scores = score_rows(inputs[0], model, forest)
     kept = run.predictions.select(KEY, F.col("prediction").alias("pred"), F.col("probability").alias("proba"))
