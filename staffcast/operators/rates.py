@@ -26,6 +26,11 @@ def success_rates(df: DataFrame, columns: Sequence[str], target: str = "target",
         .groupBy("dimension", "value")
         .agg(F.count("*").alias("n"), F.count_if(F.col("_target") == 1).alias("_hits"))
     )
+    return rates_of(counted, min_rows)
+
+
+def rates_of(counted: DataFrame, min_rows: int = 5) -> DataFrame:
+    """Rates of counted values: ``dimension``, ``value``, ``n`` rows, ``_hits`` of them successes."""
     return counted.filter((F.col("n") >= min_rows) & (F.col("_hits") > 0)).select(
         "dimension", "value", "n", (F.col("_hits") / F.col("n") * 100).alias("rate")
     )

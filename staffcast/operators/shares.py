@@ -23,15 +23,18 @@ def frequent_values(df: DataFrame, percents: Mapping[str, float]) -> dict[str, l
     At most 100 / percent values of a column can do that, so the answer is small at any scale.
     """
     pairs = F.inline(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.lit(float(p)).alias("percent"))
-                  for c, p in percents.items()])
-    )
-    counts = (
-        df.select(pairs).filter(F.col("value").isNotNull())
-        .groupBy("column", "value", "percent").agg(F.count("*").alias("n"))
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in percents])
     )
+    counts = df.select(pairs).filter(F.col("value").isNotNull()).groupBy("column", "value").agg(F.count("*").alias("n"))
+    return frequent_of(counts, percents)
+
+
+def frequent_of(counts: DataFrame, percents: Mapping[str, float]) -> dict[str, list[str]]:
+    """Frequent values by their counts: ``column``, ``value``, ``n``."""
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    kept = counts.join(F.broadcast(totals), "column").filter(F.col("n") / F.col("total") * 100 >= F.col("percent"))
+    wanted = F.create_map(*[F.lit(x) for c, p in percents.items() for x in (c, float(p))])
+    share = F.col("n") / F.col("total") * 100
+    kept = counts.join(F.broadcast(totals), "column").filter(share >= wanted[F.col("column")])
     found: dict[str, list[str]] = {c: [] for c in percents}
     for row in kept.select("column", "value").collect():
         found[row["column"]].append(row["value"])

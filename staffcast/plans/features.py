@@ -83,7 +83,7 @@ class FeatureModel:
     def eligible(self, cleaned: DataFrame) -> DataFrame:
         """Cleaned rows that have a client, a job level and a plausible salary."""
         rows = cleaned.select(KEY, *SOURCES).na.drop(subset=["client_code"])
-        return _plausible(rows)
+        return plausible(rows)
 
     def fill(self, eligible: DataFrame) -> DataFrame:
         """Join the fitted tables: favourable flags, salaries and probabilities with fallback."""
@@ -202,7 +202,7 @@ def fit_encoding(
     success = rates.success_rates(with_client, list(RATE_FLAGS), "target", conf.min_group_rows)
     model.tables["favourable"] = stage(rates.favourable_values(success, conf.favourable_quantile), "favourable")
 
-    eligible = _plausible(with_client)
+    eligible = plausible(with_client)
     model.tables["salary_medians"] = stage(salary_medians(salary), "salary_medians")
     for name, column, levels in (
         ("consolidation_medians", "consolidation_probability", S.CONSOLIDATION_LEVELS),
@@ -212,10 +212,7 @@ def fit_encoding(
 
     filled = stage(model.fill(eligible), "filled")
     model.edges = binning.fit_edges(filled, {c: list(by) for c, by in BINS.items()})
-    model.frequent = shares.frequent_values(
-        filled,
-        {"region": conf.region_percent, "job_role": conf.role_percent, "work_zone": conf.zone_percent},
-    )
+    model.frequent = shares.frequent_values(filled, share_percents(conf))
     grouped = filled.withColumn(
         "GroupedPosition", shares.group_rare(F.col("job_role"), model.frequent["job_role"])
     )
@@ -266,7 +263,13 @@ def fill_probability(rows: DataFrame, table: DataFrame, levels, source: str, nam
     return fallback.fill_by_levels(rows, table, levels, {name: (own, "median")})
 
 
-def _plausible(with_client: DataFrame) -> DataFrame:
+def share_percents(conf: Settings) -> dict[str, float]:
+    """Least percent of the rows for a value to be kept, by column."""
+    return {"region": conf.region_percent, "job_role": conf.role_percent, "work_zone": conf.zone_percent}
+
+
+def plausible(with_client: DataFrame) -> DataFrame:
+    """Rows with a job level and a plausible salary, added as ``RequestSalary``."""
     rows = with_client.na.drop(subset=["job_level"])
     rows = rows.withColumn("RequestSalary", rules.full_salary(F.col("desired_salary")))
     return filters.outside_band(rows, "RequestSalary", 100, 8000)
