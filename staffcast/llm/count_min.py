@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffcast.llm.common import UNSPACED, Powers, WordHash, chunks, expand, mix, numbered, read_table, run_hashes, word_spans
+from staffcast.llm.common import UNSPACED, PlacedHash, Powers, chunks, expand, mix, numbered, read_table, run_hashes, word_spans
 from staffcast.staging import stage
 
 WINDOW = 35
@@ -20,7 +20,7 @@ MOST_CELLS = 1 << 29  # cells in a row at most; tasks then hold 2 * 64 MB
 BLOCK = 1 << 20  # cells that merge as one unit
 FLUSH = 1 << 21  # windows, or keys, that a task gathers before it writes
 
-WORDS, KEYS, WHOLE = WordHash(1), Powers(0x9E3779B97F4A7C15), Powers(0xC2B2AE3D27D4EB4F)
+WORDS, KEYS, WHOLE = PlacedHash(1), Powers(0x9E3779B97F4A7C15), Powers(0xC2B2AE3D27D4EB4F)
 
 RUNS = pa.schema([("key", pa.int64()), ("row", pa.int64()), ("start", pa.int32()), ("held", pa.int32()), ("known", pa.int32()), ("hashes", pa.binary())])
 RUNS_SQL = "key long, row long, start int, held int, known int, hashes binary"

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffcast.llm.common import LOWER, UNSPACED, WordHash, chunks, expand, free_name, numbered, read_table, word_spans
+from staffcast.llm.common import LOWER, UNSPACED, PlacedHash, chunks, expand, free_name, numbered, read_table, word_spans
 from staffcast.staging import stage
 
 CAPACITY = 2048
@@ -25,7 +25,7 @@ END_ID = 0
 SHARD_PIECES = 16_384  # pieces that one task packs together
 CACHED_UNITS = 400_000  # about 40 MB in a worker process
 
-WORDS = WordHash(3)
+WORDS = PlacedHash(3)
 MARK = b"<|endoftext|>"
 SHARED = "_token_units_of_this_process"
 # Bytes that are ASCII letters (1), other visible ASCII (2), or neither; and those that make a word odd.

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from staffcast.llm.common import ALPHANUMERIC, LOWER, WordHash, chunks, expand, numbered, read_table, text_column, word_spans
+from staffcast.llm.common import ALPHANUMERIC, LOWER, PlacedHash, chunks, expand, numbered, read_table, text_column, word_spans
 from staffcast.staging import stage
 
 WINDOW = 10
@@ -21,7 +21,7 @@ INDEX = "shard long, rows binary, words binary, terms binary, counts binary, pos
 SPANS = pa.schema([("row", pa.int64()), ("kind", pa.string()), ("item", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])
 
 
-WORDS = WordHash()
+WORDS = PlacedHash()
 
 
 def hashed_words(at: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
