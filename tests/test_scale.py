@@ -8,6 +8,7 @@ import pytest
 
 from checks import views as V
 from staffcast.operators import near_search, outliers
+from staffcast.plans import features
 from staffcast.staging import stage
 from staffcast.streaming.store import RequestStore
 
@@ -105,3 +106,20 @@ def test_hashes_reach_the_target_or_leave_all_pairs_to_the_exact_search(spark):
     assert share >= near_search.TARGET
     with pytest.raises(near_search.NotFound, match="nearly all pairs"):
         near_search.nearest_by_hashes(residents, 7, target=1.01, block_rows=400, effort=1.0)
+
+
+class Staged(Exception):
+    pass
+
+
+def test_words_are_cut_in_more_tasks_than_the_requests_came_in(spark, tables, unbroadcast, monkeypatch):
+    made = {}
+
+    def stage(df, name):
+        made[name] = df
+        raise Staged
+
+    monkeypatch.setattr(features, "stage", stage)
+    with pytest.raises(Staged):
+        features.fit_encoding(V.requests(spark, tables).coalesce(1), spark.range(0), V.CONF)
+    assert made["cleaned"].rdd.getNumPartitions() > 1
