@@ -227,3 +227,16 @@ def test_outlier_factor_equals_brute_force(spark, cell_rows, block_rows):
     np.testing.assert_allclose([got[i] for i in ids], [expected[i] for i in ids], rtol=1e-6)
     kept = outliers.inliers(df, "id", found, 1.5)
     assert ids[-1] not in {r["id"] for r in kept.select("id").collect()}
+
+
+def test_ranges_of_few_rows_are_counted_in_one_pass(spark, monkeypatch):
+    """Two passes over the rows of a large group: one that finds the range of a rank, one that counts its values."""
+    staged = []
+    monkeypatch.setattr(quantiles, "BUCKETS", 16)
+    monkeypatch.setattr(quantiles, "stage", lambda df, name, *rest: staged.append(name) or stage(df, name, *rest))
+    values = np.random.default_rng(9).permutation(np.concatenate([1 + np.arange(3000) / 3000, np.full(60, 1.25)]))
+    df = spark.createDataFrame([("g", float(v)) for v in values], "g string, x double")
+    probs = [i / 10 for i in range(11)]
+    row = quantiles.group_quantiles(df, ["g"], "x", probs, 2000).first()
+    np.testing.assert_allclose(row["q"], np.quantile(values, probs), rtol=1e-12)
+    assert row["n"] == len(values) and staged.count("narrowed") <= 2 and "sizes" in staged
