@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ from staffcast.staging import stage
 
 SHARD_ROWS = 4096
 QUERY_ROWS = 512
+HELD_BLOCKS = 16  # query blocks that a task holds
 STEP = 8  # dimensions probed between two tests of the bound
 MOST = (1 << 63) - 1
 
@@ -139,9 +141,8 @@ def top_k(vectors: DataFrame, id_column: str, vector_column: str, is_query: Colu
     hold null, NaN or infinite components, take no part; components that one of two vectors lacks count as
     zero, so an empty vector has score 0 with all. Other columns are ignored; an empty table gives no rows.
 
-    Vectors and queries become blocks of fixed size. Every pair of a query block and a shard is one row of an
-    equi-join on the pair's numbers, so tasks hold two blocks whatever the sizes are; each gives at most ``k``
-    rows a query, and a window ranks those of all shards.
+    Vectors and queries become blocks of fixed size. Every pair of a query block and a shard is one row, made in memory by a task
+    that holds a few query blocks whatever the sizes are; each gives at most ``k`` rows a query, and a window ranks those of all shards.
     """
     own = vectors.select(
         F.col(id_column).cast("long").alias("id"), weights(F.col(vector_column)).alias("w"), is_query.alias("is_query")
@@ -149,16 +150,13 @@ def top_k(vectors: DataFrame, id_column: str, vector_column: str, is_query: Colu
     own = stage(numbered(own, "uid"), "vectors")
     shards = stage(_blocks(own.select("uid", "id", "w"), SHARD_ROWS), "shards")
     queries = stage(_blocks(own.where("is_query").select("uid", "id", "w"), QUERY_ROWS), "query-blocks")
-    # Blocks get numbers by hash: some number may hold two blocks, and the join then pairs both.
-    n_shards, n_queries = max(1, shards.count()), max(1, queries.count())
-    own_number = lambda n: F.pmod(F.xxhash64("first"), F.lit(n)).cast("int")
-    other = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    named = lambda df, side: df.select("q_block", "x_block", *[F.col(c).alias(f"{side}_{c}") for c in shards.columns])
-    left = named(queries.withColumn("q_block", own_number(n_queries)).withColumn("x_block", other(n_shards)), "q")
-    right = named(shards.withColumn("x_block", own_number(n_shards)).withColumn("q_block", other(n_queries)), "x")
-    hits = left.join(right, ["q_block", "x_block"]).mapInArrow(
-        lambda batches: _search(batches, k), "query_uid long, query_id long, vec_id long, uid long, score long"
-    )
+    # A join on numbers of pairs would copy a block for each of its pairs first, and a table that is small as a file would be broadcast
+    # with all these copies. Here pairs are made in the tasks: a shard's rows pass by the few query blocks that a task holds.
+    n_queries = queries.count()
+    parts = max(1, min(n_queries, max(math.ceil(n_queries / HELD_BLOCKS), vectors.sparkSession.sparkContext.defaultParallelism)))
+    named = lambda df, side: df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
+    pairs = named(shards, "x").hint("shuffle_replicate_nl").crossJoin(named(queries.repartition(parts), "q"))
+    hits = pairs.mapInArrow(lambda batches: _search(batches, k), "query_uid long, query_id long, vec_id long, uid long, score long")
     order = Window.partitionBy("query_uid").orderBy(F.desc("score"), "vec_id", "uid")
     return (
         hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -34,6 +34,17 @@ def test_best_vectors(spark, monkeypatch, shard, queries):
     assert got == best(rows, 5)
 
 
+def test_pairs_of_blocks_are_neither_broadcast_nor_shuffled(spark, monkeypatch):
+    """The driver would hold a query block for each shard, and the disk a shard for each query block."""
+    monkeypatch.setattr(max_score, "SHARD_ROWS", 20)
+    monkeypatch.setattr(max_score, "QUERY_ROWS", 3)
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(500)], "vec_id long, v array<double>")
+    found = max_score.top_k(df, "vec_id", "v", F.col("vec_id") % 50 == 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and "explode" not in plan
+    assert found.count() == 50
+
+
 def test_search_without_rows_or_queries(spark):
     df = spark.createDataFrame([(1, [0.5])], "vec_id long, v array<float>")
     assert max_score.top_k(df, "vec_id", "v", F.col("vec_id") % 50 == 0).count() == 0
