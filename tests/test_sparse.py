@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -157,3 +158,30 @@ def test_no_rows_and_no_values(spark):
     assert related.count() == 0
     assert sparse.not_redundant(cells, "k", related, stats, positions, len(NUMBERS), 0, 0.85).count() == 0
     assert sparse.scaled_vectors(cells, "k", "target", stats.withColumn("place", F.lit(0)), 1).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, sparse.TABLE_PAIRS])
+def test_sums_of_pairs_equal_plain_ones_and_pairs_are_not_sorted(monkeypatch, limit):
+    """Of few columns the pairs of cells are counted in their places; sorting all of them took most of the time."""
+    monkeypatch.setattr(sparse, "TABLE_PAIRS", limit)
+    rng = np.random.default_rng(2)
+    numbers, n, width = 3, 200, 12
+    x = np.where(rng.random((n, width)) < 0.1, np.nan, rng.integers(1, 4, (n, width)))
+    # Counts, which come after the numbers, have no missing cells: what is missing there isn't in the row.
+    lists = [[{"position": p, "x": None if np.isnan(v) else v, "s": float(np.nansum(x[:, p])), "d": 1.0, "g": 3.0} for p, v in enumerate(r) if p < numbers or not np.isnan(v)] for r in x]
+    kind = pa.list_(pa.struct([("position", pa.int64()), *[(c, pa.float64()) for c in "xsdg"]]))
+    sorted_, unique = [], np.unique
+    monkeypatch.setattr(sparse.np, "unique", lambda a, **kw: sorted_.append(len(a)) or unique(a, **kw))
+    (out,) = sparse._pair_sums(iter([pa.RecordBatch.from_arrays([pa.array(lists, kind)], ["cells"])]), numbers, float(n), 0.5)
+    cells = sum(map(len, lists))
+    assert max(sorted_) == cells if limit else max(sorted_) > cells
+    seen = {(r["a"], r["b"]): r for r in out.to_pylist()}
+    assert len(seen) == width * (width - 1) // 2
+    for (i, j), r in seen.items():
+        a, b = x[:, i], x[:, j]
+        ma, mb = np.isnan(a), np.isnan(b)
+        there = (i < numbers or ~ma) & (j < numbers or ~mb)  # the row holds both cells
+        assert r["xy"] == np.nansum(a * b)
+        assert (r["ab"], r["aab"]) == (np.nansum(a[there & mb]), np.nansum(a[there & mb] ** 2))
+        assert (r["ba"], r["bba"]) == (np.nansum(b[there & ma]), np.nansum(b[there & ma] ** 2))
+        assert r["mm"] == (there & ma & mb).sum()
