@@ -162,7 +162,7 @@ def test_no_rows_and_no_values(spark):
 
 @pytest.mark.parametrize("limit", [0, sparse.TABLE_PAIRS])
 def test_sums_of_pairs_equal_plain_ones_and_pairs_are_not_sorted(monkeypatch, limit):
-    """Of few columns the pairs of cells are counted in their places; sorting all of them took most of the time."""
+    """Of few columns the pairs of cells are counted in their places; all of them were sorted before."""
     monkeypatch.setattr(sparse, "TABLE_PAIRS", limit)
     rng = np.random.default_rng(2)
     numbers, n, width = 3, 200, 12
